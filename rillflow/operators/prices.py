@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,16 +24,19 @@ def _checked(rows: DataFrame, value: str) -> DataFrame:
     return record.withColumn("_valid", valid)
 
 
-def parse_prices(rows: DataFrame, value: str = "value") -> DataFrame:
+def parse_prices(
+    rows: DataFrame, value: str = "value", keep: Sequence[str] = ()
+) -> DataFrame:
     """Data lines to price columns; a line that cannot be read fails the job.
 
     The check sits in a filter, so it also runs when no price column is used later.
+    ``keep`` names other columns of ``rows`` to carry along.
     """
     failure = F.raise_error(F.concat(F.lit("not a price line: "), F.col(value))).cast("boolean")
     return (
         _checked(drop_headers(rows, value), value)
         .filter(F.when(F.col("_valid"), True).otherwise(failure))
-        .select("_price.*")
+        .select("_price.*", *keep)
     )
 
 

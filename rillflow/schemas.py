@@ -77,24 +77,25 @@ DRIVER_COLUMNS = ("full_name", "name_acronym", "team_name", "headshot_url")
 SERVING_KEYS = (*DRIVER_KEYS, "date")
 SERVING_PARTITIONS = ("meeting_key", "session_key")
 
-# Serving tables. Unsigned source types take the next wider signed type.
+# Serving tables. Unsigned source types take a wider signed type; driver numbers are int
+# as in the feeds, so that keys compare without casts.
 SERVING = {
     "drivers": columns(
-        "meeting_key long, session_key long, driver_number short, name_acronym string, "
+        "meeting_key long, session_key long, driver_number int, name_acronym string, "
         "full_name string, team_name string, headshot_url string"
     ),
     "car_data": columns(
-        "date timestamp, driver_number short, session_key long, meeting_key long, "
+        "date timestamp, driver_number int, session_key long, meeting_key long, "
         "speed int, n_gear short, rpm int, throttle int, brake int, full_name string, "
         "name_acronym string, team_name string, headshot_url string, version long"
     ),
     "location": columns(
-        "date timestamp, driver_number short, session_key long, meeting_key long, "
+        "date timestamp, driver_number int, session_key long, meeting_key long, "
         "x int, y int, z int, full_name string, name_acronym string, team_name string, "
         "headshot_url string, version long"
     ),
     "position": columns(
-        "date timestamp, session_key long, meeting_key long, driver_number short, "
+        "date timestamp, session_key long, meeting_key long, driver_number int, "
         "position short, full_name string, name_acronym string, team_name string, "
         "headshot_url string, version long"
     ),
