@@ -13,9 +13,9 @@ def is_header(line: Column) -> Column:
     return F.lower(line).startswith(HEADER_PREFIX)
 
 
-def field(line: Column, position: int) -> Column:
-    """Comma-separated field by 0-based position; null when the line is shorter."""
-    return F.get(F.split(line, ","), F.lit(position))
+def fields(line: Column) -> Column:
+    """The comma-separated fields of a line; there is no quoting."""
+    return F.split(line, ",")
 
 
 def strict_int(text: Column) -> Column:
@@ -23,15 +23,14 @@ def strict_int(text: Column) -> Column:
     return F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("int"))
 
 
-def price_struct(line: Column) -> Column:
-    """One price record; volume comes from column 5, or 6 where 5 is no int."""
-    prices = {
-        name: field(line, position).try_cast("double")
+def price_struct(parts: Column) -> Column:
+    """One price record from the fields of a line; null where a field cannot be read.
+
+    The volume comes from column 5, or from column 6 where 5 is no int.
+    """
+    prices = [
+        F.get(parts, F.lit(position)).try_cast("double").alias(name)
         for position, name in enumerate(("open", "high", "low", "close"), start=1)
-    }
-    volume = F.coalesce(strict_int(field(line, 5)), strict_int(field(line, 6)))
-    return F.struct(
-        field(line, 0).alias("date"),
-        *[column.alias(name) for name, column in prices.items()],
-        volume.alias("volume"),
-    )
+    ]
+    volume = F.coalesce(strict_int(F.get(parts, F.lit(5))), strict_int(F.get(parts, F.lit(6))))
+    return F.struct(F.get(parts, F.lit(0)).alias("date"), *prices, volume.alias("volume"))

@@ -13,21 +13,20 @@ from rillflow.functions import times
 
 KEEP_NULLS = {"ignoreNullFields": "false"}
 CORRUPT = "_corrupt_record"
+JSON_SPACE = " \t\r\n"
 
 
-def has_field(value: Column, name: str) -> Column:
-    """True when ``value`` is a JSON object that has the field, even as JSON null."""
-    document = F.try_parse_json(value)
+def has_field(document: Column, name: str) -> Column:
+    """True when a parsed document is an object with the field, even as JSON null."""
     return F.try_variant_get(document, f"$.{name}", "variant").isNotNull()
 
 
-def int_field(value: Column, name: str) -> Column:
-    """Integer value of a JSON field.
+def int_field(document: Column, name: str) -> Column:
+    """Integer value of a field of a parsed document.
 
     Numeric text and decimals are coerced, booleans count as 1 and 0, and anything
     without an integer value counts as 0.
     """
-    document = F.try_parse_json(value)
     direct = F.try_variant_get(document, f"$.{name}", "int")
     as_text = F.try_variant_get(document, f"$.{name}", "string")
     return F.coalesce(direct, as_text.try_cast("double").try_cast("int"), F.lit(0))
@@ -46,26 +45,26 @@ def json_row(record_type: str) -> Column:
     )
 
 
-def merge_fields(value: Column, fields: Column, names: Iterable[str]) -> Column:
-    """Add the fields of the struct ``fields`` to the JSON object in ``value``.
-
-    Existing fields come first and stay as they are; fields of the same name are
-    replaced. ``value`` must hold a non-empty JSON object.
-    """
+def without_fields(document: Column, names: Iterable[str]) -> Column:
+    """JSON text of a parsed object less the named fields; null if it has none of them."""
     names = list(names)
-    document = F.try_parse_json(value)
     clash = F.lit(False)
     for name in names:
-        clash = clash | has_field(value, name)
-    remaining = F.map_filter(
-        document.try_cast(T.MapType(T.StringType(), T.VariantType())),
-        lambda name, _: ~name.isin(names),
-    )
-    base = F.when(clash, F.to_json(remaining)).otherwise(value)
-    opened = F.regexp_replace(base, r"\s*\}\s*$", "")
-    added = F.regexp_replace(F.to_json(fields, KEEP_NULLS), r"^\{", "")
-    separator = F.when(F.trim(opened) == "{", "").otherwise(",")
-    return F.concat(opened, separator, added)
+        clash = clash | has_field(document, name)
+    fields = document.try_cast(T.MapType(T.StringType(), T.VariantType()))
+    return F.when(clash, F.to_json(F.map_filter(fields, lambda name, _: ~name.isin(names))))
+
+
+def opened(value: Column) -> Column:
+    """JSON object text without its closing brace."""
+    trimmed = F.rtrim(value, F.lit(JSON_SPACE))
+    return F.rtrim(F.regexp_replace(trimmed, r"\}$", ""), F.lit(JSON_SPACE))
+
+
+def close_with(opened_object: Column, fields: Column) -> Column:
+    """Finish an opened, non-empty object with the fields of a struct, nulls included."""
+    added = F.substring(F.to_json(fields, KEEP_NULLS), 2, 2**31 - 1)
+    return F.concat(opened_object, F.lit(","), added)
 
 
 def _with_corrupt(schema: T.StructType) -> T.StructType:

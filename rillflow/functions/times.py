@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DAY_FORMAT = "yyyy-MM-dd"
 MILLIS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
 
 # An ISO date-time needs a date, a "T" and a time; fraction and offset are optional.
@@ -18,14 +17,12 @@ OFFSET_PATTERN = r"(?i)(Z|[+-]\d{2}(:\d{2}(:\d{2})?)?)$"
 
 def to_day(text: Column) -> Column:
     """``yyyy-MM-dd`` text to a date; null when it is no such date."""
-    return F.when(
-        text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_timestamp(text, F.lit(DAY_FORMAT))
-    ).cast("date")
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text.try_cast("date"))
 
 
 def month_start(day: Column) -> Column:
     """First day of the month, as ``yyyy-MM-dd`` text."""
-    return F.date_format(F.trunc(day, "month"), DAY_FORMAT)
+    return F.trunc(day, "month").cast("string")
 
 
 def year_text(day: Column) -> Column:

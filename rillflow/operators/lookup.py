@@ -66,19 +66,24 @@ def enrich_json(
     Unknown customers give four JSON nulls. Messages that are no JSON object, lack
     ``customer_id``, or match a customer without a creation time pass unchanged.
     """
-    readable = payloads.has_field(F.col(value), "customer_id")
-    keyed = messages.withColumn(
-        "_customer", F.when(readable, payloads.int_field(F.col(value), "customer_id"))
+    # Each message is parsed once, and only what the merge needs goes through the join.
+    parsed = messages.withColumn("_document", F.try_parse_json(value))
+    document = F.col("_document")
+    keyed = parsed.select(
+        *messages.columns,
+        F.when(
+            payloads.has_field(document, "customer_id"),
+            payloads.int_field(document, "customer_id"),
+        ).alias("_customer"),
+        payloads.without_fields(document, schemas.CUSTOMER_FIELDS).alias("_cleared"),
     )
     sizing.setdefault("salt_key", value)
     found = lookup_join(
         keyed, _customer_columns(customers), F.col("_customer") == F.col("_id"), **sizing
     )
-    merged = payloads.merge_fields(
-        F.col(value), F.struct(*schemas.CUSTOMER_FIELDS), schemas.CUSTOMER_FIELDS
+    merged = payloads.close_with(
+        payloads.opened(F.coalesce("_cleared", value)), F.struct(*schemas.CUSTOMER_FIELDS)
     )
     complete = F.col("_id").isNull() | F.col("customer_created_at").isNotNull()
     result = F.when(F.col("_customer").isNotNull() & complete, merged).otherwise(F.col(value))
     return found.withColumn(value, result).select(*messages.columns)
-
-

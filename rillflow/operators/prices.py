@@ -16,7 +16,9 @@ def drop_headers(rows: DataFrame, value: str = "value") -> DataFrame:
 
 
 def _checked(rows: DataFrame, value: str) -> DataFrame:
-    record = rows.withColumn("_price", lines.price_struct(F.col(value)))
+    # One step each for the fields and the record, so that neither is computed twice.
+    split = rows.withColumn("_fields", lines.fields(F.col(value)))
+    record = split.withColumn("_price", lines.price_struct(F.col("_fields"))).drop("_fields")
     needed = [F.col(f"_price.{name}") for name in ("open", "high", "low", "close", "volume")]
     valid = times.to_day(F.col("_price.date")).isNotNull()
     for column in needed:
