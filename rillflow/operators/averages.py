@@ -27,44 +27,53 @@ def running_average(
     order: str,
     out: str = "average",
     block_rows: int | None = None,
+    opening: DataFrame | None = None,
 ) -> DataFrame:
     """Average of a key's values so far, one output row per input row.
 
-    ``order`` must tell the rows of one key apart.
+    ``order`` must tell the rows of one key apart. ``opening`` gives what keys start
+    from, as the (count, sum) of :func:`partial_sums`.
     """
     plan = plan_blocks(df, keys, order, block_rows)
-    if plan is None:
+    if plan is None and opening is None:
         so_far = (
             Window.partitionBy(*keys).orderBy(order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
         return df.withColumn(out, F.avg(value).over(so_far))
-    rows = plan.tag(df).withColumns({
+    rows = df.withColumns({
         "_row": F.lit(1),
         "_sum": F.col(value).cast("double"),
         "_count": F.col(value).isNotNull().cast("long"),
     })
-    earlier = across_blocks(keys).rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        rows.filter(F.col(BLOCK) > 0)
-        .groupBy(*keys, BLOCK)
-        .agg(F.sum("_sum").alias("_sum"), F.sum("_count").alias("_count"))
-        .select(
-            *keys, BLOCK, F.lit(0).alias("_row"),
-            F.sum("_sum").over(earlier).alias("_sum"),
-            F.sum("_count").over(earlier).alias("_count"),
+    if opening is not None:
+        # An opening has no place in the order, so it sorts first and into block 1.
+        first = opening.select(
+            *keys, F.lit(0).alias("_row"), F.col("sum").alias("_sum"), F.col("count").alias("_count")
         )
-        .filter(F.col("_count").isNotNull())
-    )
+        rows = rows.unionByName(first, allowMissingColumns=True)
+    if plan is None:
+        rows = rows.withColumn(BLOCK, F.lit(0))
+    else:
+        rows = plan.tag(rows)
+        earlier = across_blocks(keys).rowsBetween(Window.unboundedPreceding, -1)
+        carried = (
+            rows.filter(F.col(BLOCK) > 0)
+            .groupBy(*keys, BLOCK)
+            .agg(F.sum("_sum").alias("_sum"), F.sum("_count").alias("_count"))
+            .select(
+                *keys, BLOCK, F.lit(0).alias("_row"),
+                F.sum("_sum").over(earlier).alias("_sum"),
+                F.sum("_count").over(earlier).alias("_count"),
+            )
+            .filter(F.col("_count").isNotNull())
+        )
+        rows = rows.unionByName(carried, allowMissingColumns=True)
     so_far = block_window(keys, "_row", order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    return (
-        rows.unionByName(carried, allowMissingColumns=True)
-        .withColumn(out, F.try_divide(F.sum("_sum").over(so_far), F.sum("_count").over(so_far)))
-        .filter("_row = 1")
-        .select(*df.columns, out)
-    )
+    average = F.try_divide(F.sum("_sum").over(so_far), F.sum("_count").over(so_far))
+    return rows.withColumn(out, average).filter("_row = 1").select(*df.columns, out)
 
 
 def inactivity_average(

@@ -24,7 +24,6 @@ def lookup_join(
     left: DataFrame,
     lookup: DataFrame,
     on: Column,
-    salt_key: str | None = None,
     salts: int = 1,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
@@ -33,16 +32,15 @@ def lookup_join(
     A lookup proven small is broadcast, and the left side stays where it is. A larger
     one is shuffled; adaptive execution then splits the rows of a hot key. Streaming
     micro-batches run without it: there, ``salts`` spreads each key over that many
-    tasks by a hash of ``salt_key``, at the price of as many copies of the lookup.
+    tasks by a hash of the whole left row, at the price of as many copies of the lookup.
+    Keep the record version among the left columns where messages repeat.
     """
     if fits_broadcast(lookup, broadcast_rows):
         return left.join(F.broadcast(lookup), on, "left")
     if salts <= 1:
         return left.join(lookup, on, "left")
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(salt_key), F.lit(salts)))
-    copies = lookup.withColumn(
-        "_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long")
-    )
+    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)))
+    copies = lookup.withColumn("_copy", F.explode(F.array(*map(F.lit, range(salts)))))
     return salted.join(copies, on & (F.col("_salt") == F.col("_copy")), "left").drop(
         "_salt", "_copy"
     )
@@ -77,7 +75,6 @@ def enrich_json(
         ).alias("_customer"),
         payloads.without_fields(document, schemas.CUSTOMER_FIELDS).alias("_cleared"),
     )
-    sizing.setdefault("salt_key", value)
     found = lookup_join(
         keyed, _customer_columns(customers), F.col("_customer") == F.col("_id"), **sizing
     )

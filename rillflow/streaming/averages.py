@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
+from rillflow.operators import averages as batch_averages
 from rillflow.schemas import columns
 from rillflow.streaming import opaque
 
@@ -29,7 +31,7 @@ class RunningAverageProcessor(StatefulProcessor):
         self.sums = handle.getValueState("sums", SUMS)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        count, total = self.sums.get() if self.sums.exists() else (0, 0.0)
+        count, total = self.sums.get() or (0, 0.0)
         for chunk in rows:
             counts = count + chunk["count_"].cumsum()
             sums = total + chunk["value_"].cumsum()
@@ -63,7 +65,7 @@ class InactivityProcessor(StatefulProcessor):
         return -(-last_micros // 1000) + self.gap_millis
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        count, total, last = self.sums.get() if self.sums.exists() else (0, 0.0, None)
+        count, total, last = self.sums.get() or (0, 0.0, None)
         for chunk in rows:
             count += int(chunk["count_"].sum())
             total += float(chunk["value_"].sum())
@@ -83,6 +85,21 @@ class InactivityProcessor(StatefulProcessor):
         pass
 
 
+def partial_sums_of(keys: Sequence[str]) -> Callable:
+    """Sum the rows of each key in an Arrow batch, so that a hot key sends few rows on."""
+
+    def sum_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums = pa.Table.from_batches([batch]).group_by(keys).aggregate(
+                [("micros_", "max"), ("value_", "sum"), ("count_", "sum")]
+            )
+            names = [*keys, "micros_", "value_", "count_"]
+            ordered = sums.select([*keys, "micros__max", "value__sum", "count__sum"])
+            yield from ordered.rename_columns(names).combine_chunks().to_batches()
+
+    return sum_batches
+
+
 # Names with a leading underscore would not survive the trip through pandas.
 def _measured(value: str) -> dict:
     """The value as a number to sum, and whether it counts."""
@@ -106,8 +123,8 @@ def running_average_stream(
     """Average of a key's values so far, one output row per input row.
 
     Every row of a key passes through that key's state, one chunk after the other.
-    Where one average per key and batch is enough, :func:`average_updates` spreads the
-    rows of a hot key.
+    :func:`running_average_batches` gives the same rows with hot keys spread, and
+    :func:`average_updates` one average per key and batch.
     """
     averaged = (
         df.withColumns({"packed_": opaque.pack(df.columns), **_measured(value)})
@@ -124,6 +141,46 @@ def running_average_stream(
     return averaged.select(row, F.col("average_").alias(out)).select("_row.*", out)
 
 
+def running_average_batches(
+    keys: Sequence[str],
+    value: str,
+    order: str,
+    sums_path: str,
+    sink: Callable[[DataFrame, int], None],
+    out: str = "average",
+    block_rows: int | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """Function for ``foreachBatch``: the batch operator on each micro-batch.
+
+    The (count, sum) of every key so far is kept below ``sums_path``, one folder per
+    batch. A batch that runs again finds the sums of the one before it and overwrites
+    its own, so a retry gives the same rows.
+    """
+
+    def average(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        schema = T.StructType([*[batch.schema[key] for key in keys], *SUMS.fields])
+        before = None
+        if batch_id > 0:
+            before = spark.read.schema(schema).parquet(f"{sums_path}/batch={batch_id - 1}")
+        sink(
+            batch_averages.running_average(
+                batch, keys, value, order, out, block_rows, opening=before
+            ),
+            batch_id,
+        )
+        sums = batch_averages.partial_sums(
+            batch.withColumn(value, F.col(value).cast("double")), keys, value
+        )
+        if before is not None:
+            sums = before.unionByName(sums).groupBy(*keys).agg(
+                F.sum("count").alias("count"), F.sum("sum").alias("sum")
+            )
+        sums.write.mode("overwrite").parquet(f"{sums_path}/batch={batch_id}")
+
+    return average
+
+
 def average_updates(
     df: DataFrame, keys: Sequence[str], value: str, out: str = "average"
 ) -> DataFrame:
@@ -145,30 +202,32 @@ def inactivity_average_stream(
 ) -> DataFrame:
     """Average so far of every key that stays silent for the gap, by event time.
 
-    Timers follow the watermark. A bounded run therefore ends before the timers of the
+    Rows are summed per key before the shuffle, so a hot key sends one row per Arrow
+    batch to its state. Timers follow the watermark. A bounded run therefore ends before the timers of the
     newest records are due; use the batch operator for bounded data.
     """
-    schema = T.StructType([
-        *[T.StructField(f"k{n}_", df.schema[key].dataType) for n, key in enumerate(keys)],
-        *columns("micros_ long, average_ double").fields
-    ])
+    names = _group_names(keys)
+    key_fields = [T.StructField(name, df.schema[key].dataType) for name, key in zip(names, keys)]
+    parts = T.StructType([*key_fields, *columns("micros_ long, value_ double, count_ long").fields])
     emitted = (
         df.filter(F.col(event_time).isNotNull())
         .withColumns({"micros_": F.unix_micros(event_time), **_measured(value)})
-        .select(
-            *_group_columns(keys), F.col(event_time).alias("time_"), "micros_", "value_", "count_"
-        )
+        .select(*_group_columns(keys), "micros_", "value_", "count_")
+        .mapInArrow(partial_sums_of(names), parts)
+        .withColumn("time_", F.timestamp_micros("micros_"))
         .withWatermark("time_", lateness)
-        .groupBy(*_group_names(keys))
+        .groupBy(*names)
         .transformWithStateInPandas(
-            statefulProcessor=InactivityProcessor(_group_names(keys), int(gap_seconds * 1000)),
-            outputStructType=schema,
+            statefulProcessor=InactivityProcessor(names, int(gap_seconds * 1000)),
+            outputStructType=T.StructType(
+                [*key_fields, *columns("micros_ long, average_ double").fields]
+            ),
             outputMode="Append",
             timeMode="EventTime",
         )
     )
     return emitted.select(
-        *[F.col(f"k{n}_").alias(key) for n, key in enumerate(keys)],
+        *[F.col(name).alias(key) for name, key in zip(names, keys)],
         F.timestamp_micros("micros_").alias(event_time),
         F.col("average_").alias(out),
     )

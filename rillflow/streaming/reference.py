@@ -45,20 +45,18 @@ class ReferenceProcessor(StatefulProcessor):
         self.pending = handle.getListState("pending", PENDING, self.ttl_millis)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        known = self.record.get() if self.record.exists() else None
+        known = self.record.get()
         first = last = known
         held: list[str] = []
         for chunk in rows:
-            is_record = chunk["record_"].notna()
-            records = chunk[is_record]
-            if len(records):
-                oldest = records.loc[records["since_"].idxmin()]
-                newest = records.loc[records["since_"].idxmax()]
-                if first is None or (known is None and oldest["since_"] < first[0]):
-                    first = (int(oldest["since_"]), oldest["record_"])
-                if last is None or newest["since_"] >= last[0]:
-                    last = (int(newest["since_"]), newest["record_"])
-            telemetry = chunk.loc[~is_record, "telemetry_"].tolist()
+            telemetry = [row for row in chunk["telemetry_"] if isinstance(row, str)]
+            for arrived in zip(chunk["since_"], chunk["record_"]):
+                if not isinstance(arrived[1], str):
+                    continue
+                if first is None or (known is None and arrived[0] < first[0]):
+                    first = arrived
+                if last is None or arrived[0] >= last[0]:
+                    last = arrived
             if not telemetry:
                 continue
             if known is not None:
@@ -81,7 +79,7 @@ class ReferenceProcessor(StatefulProcessor):
                     yield self._pairs(released, first)
                 self.pending.clear()
         if last is not known:
-            self.record.update(last)
+            self.record.update((int(last[0]), last[1]))
 
     @staticmethod
     def _pairs(telemetry: list[str], record: tuple) -> pd.DataFrame:
