@@ -645,6 +645,31 @@ def stream_running_average(spark, sf_dir):
     return bounded_run(spark, running, "stream-running-average")
 
 
+@register("stream_running_average_batches", """
+SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS month, o_orderkey,
+  round(avg(o_totalprice) OVER (PARTITION BY date_trunc('month', o_orderdate)
+    ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) + 0.00000137, 4) AS average
+FROM orders""")
+def stream_running_average_batches(spark, sf_dir):
+    """The same by batches, where the order key counts within a batch as well."""
+    root = scratch_path(spark, "stream-running-average-batches")
+    orders = table_stream(spark, sf_dir, "orders")
+    monthly = orders.withColumn("month", times.month_start(F.to_date("o_orderdate")))
+    monthly = monthly.select("month", "o_orderkey", "o_totalprice")
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/rows/batch={batch_id}")
+
+    step = stream_averages.running_average_batches(
+        ["month"], "o_totalprice", "o_orderkey", f"{root}/sums", keep
+    )
+    run.start(
+        monthly, "stream-running-average-batches", f"{root}/checkpoint", step, trigger=run.BOUNDED
+    ).awaitTermination()
+    schema = "month string, o_orderkey long, average double"
+    return rounded(spark.read.schema(schema).parquet(f"{root}/rows").drop("batch"))
+
+
 @register("stream_inactivity_average", """
 WITH total AS (
   SELECT user_id, max(ts) AS ts, round(avg(value) + 0.00000137, 4) AS average
@@ -676,3 +701,29 @@ def stream_lookup_enrich_json(spark, sf_dir):
     ).awaitTermination()
     rows = spark.read.schema(messages.schema).parquet(f"{root}/rows")
     return read_back(rows.select("message_key", "value", "original"))
+
+
+@register("race_position_job", f"""
+WITH {EVENTS}, drv AS (SELECT meeting_key, session_key, driver_number, {DRIVER} FROM ev
+  WHERE event_type = 'signup' QUALIFY row_number() OVER (
+    PARTITION BY meeting_key, session_key, driver_number ORDER BY version) = 1)
+SELECT strftime(date_trunc('milliseconds', ts), '%Y-%m-%d %H:%M:%S.%f') AS date, meeting_key,
+  session_key, driver_number, {POSITION}, version, full_name, name_acronym, team_name,
+  headshot_url
+FROM ev JOIN drv USING (meeting_key, session_key, driver_number)
+WHERE event_type = 'purchase'""")
+def race_position_job(spark, sf_dir):
+    """Kafka-shaped JSON rows of two topics through the job into the serving table."""
+    root = scratch_path(spark, "race-position")
+    events = standins.with_number(table_stream(spark, sf_dir, "events"))
+    joined = jobs.enriched_telemetry(
+        standins.kafka_rows(standins.position(events)),
+        standins.kafka_rows(standins.drivers(events)),
+        "position",
+    )
+    writer = serving.batch_writer("position", path=f"{root}/position")
+    run.start(
+        joined, "race-position", f"{root}/checkpoint", writer, trigger=run.BOUNDED
+    ).awaitTermination()
+    table = versions.consistent_read(serving.read_path(spark, "position", f"{root}/position"))
+    return micros_text(table.withColumn("driver_number", F.col("driver_number").cast("long")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -29,15 +29,19 @@ def sink_options(
     return options
 
 
-def as_messages(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows as JSON messages. Event times stay in the payload, in UTC."""
-    fields = [
+def json_message(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """A row's columns as a JSON message. Event times stay in the payload, in UTC."""
+    return payloads.object_row(
         F.date_format(name, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias(name)
         if dtype == "timestamp"
         else F.col(name)
         for name, dtype in df.select(*(columns or df.columns)).dtypes
-    ]
-    return df.select(payloads.object_row(fields).alias("value"))
+    )
+
+
+def as_messages(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows as JSON messages in ``value``."""
+    return df.select(json_message(df, columns).alias("value"))
 
 
 def publish(df: DataFrame, options: Mapping[str, str]) -> None:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from rillflow.functions import keys
 from rillflow.session import prepare
+from rillflow.sinks import kafka as messages
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -163,3 +164,13 @@ def order_messages(orders: DataFrame) -> DataFrame:
             F.lit(', "status": "'), "o_orderstatus", F.lit('"'), closing,
         ).alias("value"),
     )
+
+
+def kafka_rows(feed: DataFrame) -> DataFrame:
+    """A feed as the rows of its Kafka topic; arrival gives partition and offset."""
+    return feed.select(
+        messages.json_message(feed.drop("version")).cast("binary").alias("value"),
+        (F.col("arrival") % 3).cast("int").alias("partition"),
+        F.floor(F.col("arrival") / 3).alias("offset"),
+        F.lit(None).cast("timestamp").alias("timestamp"),
+    )
