@@ -219,8 +219,8 @@ MESSAGE = T.StructType([
 
 def read_back(enriched: DataFrame) -> DataFrame:
     """Enriched messages as columns; ``original`` holds each message as it came in."""
-    broken = F.try_parse_json("value").isNull()
-    record = F.when(~broken, F.from_json("value", MESSAGE)).alias("record")
+    closed = F.col("value").endswith("}")
+    record = F.when(closed, F.from_json("value", MESSAGE)).alias("record")
     return enriched.select(
         "message_key", (F.col("value") == F.col("original")).alias("unchanged"), record
     ).select("message_key", "unchanged", "record.*")
@@ -594,8 +594,9 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def bounded_run(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Run a stream over what is there now and read what it wrote."""
     root = scratch_path(spark, name)
-    query = run.start_parquet(df, name, f"{root}/checkpoint", f"{root}/rows", run.BOUNDED)
-    query.awaitTermination()
+    with run.state_per_core(spark):
+        query = run.start_parquet(df, name, f"{root}/checkpoint", f"{root}/rows", run.BOUNDED)
+        query.awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{root}/rows")
 
 
@@ -628,9 +629,10 @@ def stream_month_average(spark, sf_dir):
     def keep(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/rows")
 
-    run.start(
-        updates, "stream-month-average", f"{root}/checkpoint", keep, "complete", run.BOUNDED
-    ).awaitTermination()
+    with run.state_per_core(spark):
+        run.start(
+            updates, "stream-month-average", f"{root}/checkpoint", keep, "complete", run.BOUNDED
+        ).awaitTermination()
     return rounded(spark.read.schema(updates.schema).parquet(f"{root}/rows"))
 
 
@@ -722,8 +724,9 @@ def race_position_job(spark, sf_dir):
         "position",
     )
     writer = serving.batch_writer("position", path=f"{root}/position")
-    run.start(
-        joined, "race-position", f"{root}/checkpoint", writer, trigger=run.BOUNDED
-    ).awaitTermination()
+    with run.state_per_core(spark):
+        run.start(
+            joined, "race-position", f"{root}/checkpoint", writer, trigger=run.BOUNDED
+        ).awaitTermination()
     table = versions.consistent_read(serving.read_path(spark, "position", f"{root}/position"))
     return micros_text(table.withColumn("driver_number", F.col("driver_number").cast("long")))

@@ -45,14 +45,20 @@ def json_row(record_type: str) -> Column:
     )
 
 
-def without_fields(document: Column, names: Iterable[str]) -> Column:
-    """JSON text of a parsed object less the named fields; null if it has none of them."""
+def without_fields(value: Column, document: Column, names: Iterable[str]) -> Column:
+    """JSON text of an object less the named fields; null if it has none of them.
+
+    ``document`` is ``value`` parsed. It is looked into only where the text holds one of
+    the names, or an escape that could spell one.
+    """
     names = list(names)
-    clash = F.lit(False)
+    possible, clash = F.contains(value, F.lit("\\")), F.lit(False)
     for name in names:
+        possible = possible | F.contains(value, F.lit(name))
         clash = clash | has_field(document, name)
     fields = document.try_cast(T.MapType(T.StringType(), T.VariantType()))
-    return F.when(clash, F.to_json(F.map_filter(fields, lambda name, _: ~name.isin(names))))
+    cleared = F.to_json(F.map_filter(fields, lambda name, _: ~name.isin(names)))
+    return F.when(possible, F.when(clash, cleared))
 
 
 def opened(value: Column) -> Column:

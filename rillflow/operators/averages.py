@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillflow.plans.blocks import BLOCK, across_blocks, block_window, plan_blocks
+from rillflow.plans.blocks import BLOCK, HOT, across_blocks, block_window, plan_blocks
 
 
 def total_average(df: DataFrame, keys: Sequence[str], value: str, out: str = "average") -> DataFrame:
@@ -58,7 +58,7 @@ def running_average(
         rows = plan.tag(rows)
         earlier = across_blocks(keys).rowsBetween(Window.unboundedPreceding, -1)
         carried = (
-            rows.filter(F.col(BLOCK) > 0)
+            rows.filter(HOT)
             .groupBy(*keys, BLOCK)
             .agg(F.sum("_sum").alias("_sum"), F.sum("_count").alias("_count"))
             .select(
@@ -101,7 +101,7 @@ def inactivity_average(
     else:
         tagged = plan.tag(moments)
         blocks = (
-            tagged.filter(F.col(BLOCK) > 0)
+            tagged.filter(HOT)
             .groupBy(*keys, BLOCK)
             .agg(
                 F.sum("_sum").alias("_sum"),

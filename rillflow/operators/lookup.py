@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillflow import schemas
 from rillflow.functions import payloads, times
+from rillflow.plans.blocks import hot_keys
 from rillflow.plans.sizing import BROADCAST_ROWS, fits_broadcast
 
+# Rows of one key in one join input from which a key counts as hot.
+HOT_ROWS = 1_000_000
+
 
 def _customer_columns(customers: DataFrame) -> DataFrame:
     return customers.select(
@@ -23,27 +27,45 @@ def _customer_columns(customers: DataFrame) -> DataFrame:
 def lookup_join(
     left: DataFrame,
     lookup: DataFrame,
-    on: Column,
+    left_key: str,
+    key: str,
     salts: int = 1,
+    hot_rows: int = HOT_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Left join to a lookup with at most one row per key.
 
     A lookup proven small is broadcast, and the left side stays where it is. A larger
     one is shuffled; adaptive execution then splits the rows of a hot key. Streaming
-    micro-batches run without it: there, ``salts`` spreads each key over that many
-    tasks by a hash of the whole left row, at the price of as many copies of the lookup.
-    Keep the record version among the left columns where messages repeat.
+    micro-batches run without it: with ``salts``, keys above ``hot_rows`` rows are
+    spread over that many tasks by a hash of the whole left row, and only their lookup
+    rows are copied. Keep the record version among the left columns where rows repeat.
     """
+    on = F.col(left_key) == F.col(key)
     if fits_broadcast(lookup, broadcast_rows):
         return left.join(F.broadcast(lookup), on, "left")
-    if salts <= 1:
+    hot = None
+    if salts > 1:
+        hot = hot_keys(left.filter(F.col(left_key).isNotNull()), [left_key], hot_rows)
+    if hot is None:
         return left.join(lookup, on, "left")
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)))
-    copies = lookup.withColumn("_copy", F.explode(F.array(*map(F.lit, range(salts)))))
-    return salted.join(copies, on & (F.col("_salt") == F.col("_copy")), "left").drop(
-        "_salt", "_copy"
+    # The hot-key table is bounded by count / hot_rows, see hot_keys().
+    marks = F.broadcast(hot.select(F.col(left_key).alias("_hot_key")))
+    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts))
+    salted = (
+        left.join(marks, F.col(left_key) == F.col("_hot_key"), "left")
+        .withColumn("_salt", F.when(F.col("_hot_key").isNotNull(), spread).otherwise(F.lit(0)))
+        .drop("_hot_key")
+    )
+    one, all_salts = F.array(F.lit(0)), F.array(*map(F.lit, range(salts)))
+    copies = (
+        lookup.join(marks, F.col(key) == F.col("_hot_key"), "left")
+        .withColumn("_copies", F.when(F.col("_hot_key").isNotNull(), all_salts).otherwise(one))
+        .withColumn("_copy", F.explode("_copies"))
+        .drop("_hot_key", "_copies")
     )
+    joined = salted.join(copies, on & (F.col("_salt") == F.col("_copy")), "left")
+    return joined.drop("_salt", "_copy")
 
 
 def enrich_orders(
@@ -51,7 +73,7 @@ def enrich_orders(
 ) -> DataFrame:
     """Order columns plus four customer columns, null where there is no such customer."""
     found = lookup_join(
-        orders, _customer_columns(customers), F.col(customer_id) == F.col("_id"), **sizing
+        orders, _customer_columns(customers), customer_id, "_id", **sizing
     )
     return found.drop("_id")
 
@@ -73,11 +95,9 @@ def enrich_json(
             payloads.has_field(document, "customer_id"),
             payloads.int_field(document, "customer_id"),
         ).alias("_customer"),
-        payloads.without_fields(document, schemas.CUSTOMER_FIELDS).alias("_cleared"),
-    )
-    found = lookup_join(
-        keyed, _customer_columns(customers), F.col("_customer") == F.col("_id"), **sizing
+        payloads.without_fields(F.col(value), document, schemas.CUSTOMER_FIELDS).alias("_cleared"),
     )
+    found = lookup_join(keyed, _customer_columns(customers), "_customer", "_id", **sizing)
     merged = payloads.close_with(
         payloads.opened(F.coalesce("_cleared", value)), F.struct(*schemas.CUSTOMER_FIELDS)
     )

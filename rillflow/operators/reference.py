@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillflow import schemas
-from rillflow.plans.blocks import BLOCK, across_blocks, block_window, plan_blocks
+from rillflow.plans.blocks import BLOCK, HOT, across_blocks, block_window, plan_blocks
 from rillflow.plans.sizing import BROADCAST_ROWS
 
 # Reference records per key up to which each telemetry row may look at all of them.
@@ -107,7 +107,7 @@ def _by_scan(
         spread = plan.tag(both)
         # Last record of every block, then the last one before each block.
         lasts = (
-            spread.filter(F.col(BLOCK) > 0)
+            spread.filter(HOT)
             .groupBy(*keys, BLOCK)
             .agg(F.max("_entry").alias("_last"))
         )
@@ -128,7 +128,7 @@ def _by_scan(
     )
     return (
         spread.withColumn("_entry", F.last("_entry", ignorenulls=True).over(so_far))
-        .filter((F.col("_row") == 2) & F.col("_entry").isNotNull())
+        .filter((F.col("_row") == 2) & driver_known(F.col("_entry")))
         .select(
             *telemetry.columns,
             F.col("_entry._since").alias("_since"),

@@ -12,11 +12,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BLOCK = "_block"
+HOT = "_hot"
 BLOCK_ROWS = 4_000_000
 MAX_BLOCKS = 8192
 LONG_MAX = 2**63 - 1
@@ -41,11 +42,19 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame | None:
 
     There are at most count / ``rows`` of them, so they are held as a local table.
     """
-    found = df.groupBy(*keys).count().filter(F.col("count") > rows).collect()
+    return _local_keys(df, keys, _count_hot(df, keys, rows))
+
+
+def _count_hot(df: DataFrame, keys: Sequence[str], rows: int) -> list[Row]:
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.filter(F.col("_rows") > rows).collect()
+
+
+def _local_keys(df: DataFrame, keys: Sequence[str], found: list[Row]) -> DataFrame | None:
     if not found:
         return None
-    schema = T.StructType([*[df.schema[key] for key in keys], T.StructField("_rows", T.LongType())])
-    return df.sparkSession.createDataFrame([tuple(row) for row in found], schema)
+    schema = T.StructType([df.schema[key] for key in keys])
+    return df.sparkSession.createDataFrame([tuple(row)[:-1] for row in found], schema)
 
 
 @dataclass(frozen=True)
@@ -58,29 +67,37 @@ class BlockPlan:
     bounds: tuple[int, ...]
 
     def tag(self, df: DataFrame) -> DataFrame:
-        """Add the block number: 0 for keys kept whole, from 1 on for hot keys."""
+        """Add whether the key is hot, and its block: 0 for whole keys, else from 1 on."""
         marks = self.hot.select(
-            *[F.col(key).alias(f"_hot_{key}") for key in self.keys], F.lit(True).alias("_hot")
+            *[F.col(key).alias(f"_hot_{key}") for key in self.keys], F.lit(True).alias("_mark")
         )
         same_key = [F.col(key).eqNullSafe(F.col(f"_hot_{key}")) for key in self.keys]
         # The hot-key table is bounded by count / block_rows, see hot_keys().
         marked = df.join(F.broadcast(marks), same_key, "left")
-        block = F.when(F.col("_hot"), self._search(position(df, self.order)) + 1).otherwise(0)
-        return marked.withColumn(BLOCK, block).drop("_hot", *[f"_hot_{key}" for key in self.keys])
-
-    def _search(self, at: Column) -> Column:
-        """Number of bounds at or below ``at``, by binary search over a literal array."""
-        depth = max(1, len(self.bounds).bit_length())
+        hot = F.col("_mark").isNotNull()
+        placed = marked.withColumns({
+            HOT: hot,
+            BLOCK: F.when(hot, 1).otherwise(0),
+            "_at": F.when(hot, position(df, self.order)),
+        })
+        for step in self._steps():
+            placed = placed.withColumn(BLOCK, step)
+        return placed.drop("_mark", "_at", *[f"_hot_{key}" for key in self.keys])
+
+    def _steps(self) -> list[Column]:
+        """Binary search for the block, one column expression per halving.
+
+        Each is a projection of its own, so all of them compile to plain code; without
+        an "_at" value the block stays as it is.
+        """
+        depth = len(self.bounds).bit_length()
         padded = [*self.bounds, *[LONG_MAX] * (2**depth - 1 - len(self.bounds))]
         bounds = F.expr("array(" + ",".join(f"{bound}L" for bound in padded) + ")")
-        steps = F.array(*[F.lit(2**power) for power in reversed(range(depth))])
-        return F.aggregate(
-            steps,
-            F.lit(0),
-            lambda found, step: F.when(
-                F.get(bounds, found + step - 1) <= at, found + step
-            ).otherwise(found),
-        )
+        block, steps = F.col(BLOCK), [2**power for power in reversed(range(depth))]
+        return [
+            block + F.when(F.get(bounds, block + (step - 2)) <= F.col("_at"), step).otherwise(0)
+            for step in steps
+        ]
 
 
 def plan_blocks(
@@ -92,20 +109,21 @@ def plan_blocks(
     quantile pass over their order column.
     """
     block_rows = block_rows or BLOCK_ROWS
-    hot = hot_keys(df, keys, block_rows)
+    found = _count_hot(df, keys, block_rows)
+    hot = _local_keys(df, keys, found)
     if hot is None:
         return None
-    total = hot.agg(F.sum("_rows")).first()[0]
+    total = sum(row["_rows"] for row in found)
     blocks = min(MAX_BLOCKS, -(-total // block_rows))
-    hot = hot.select(*keys)
     hot_rows = df.select(*keys, position(df, order).alias("_at")).alias("r").join(
         F.broadcast(hot).alias("h"),
         [F.col(f"r.{key}").eqNullSafe(F.col(f"h.{key}")) for key in keys],
         "left_semi",
     )
     cuts = [part / blocks for part in range(1, blocks)]
-    found = hot_rows.agg(F.percentile_approx("_at", cuts, max(10_000, 4 * blocks))).first()[0]
-    return BlockPlan(tuple(keys), order, hot, tuple(sorted(set(found or []))))
+    # The error of a cut is at most an eighth of a block.
+    places = hot_rows.agg(F.percentile_approx("_at", cuts, 8 * blocks)).first()[0]
+    return BlockPlan(tuple(keys), order, hot, tuple(sorted(set(places or []))))
 
 
 def block_window(keys: Sequence[str], *order: Column | str):

@@ -8,7 +8,7 @@ from itertools import islice
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
@@ -103,7 +103,8 @@ def reference_join_stream(
     ``version`` orders the reference records of a key. ``salts`` spreads a key's
     telemetry over that many states by a hash of its columns, each with its own copy of
     the key's reference records, so that a hot key does not sit in one task. Held rows
-    stay until their record comes, unless ``ttl_millis`` is given.
+    stay until their record comes, unless ``ttl_millis`` is given. With a time to live,
+    Spark keeps on looking for expired rows, so a bounded trigger would not end.
     """
     same_keys = [F.col(key).cast("long").alias(f"k{n}_") for n, key in enumerate(keys)]
     groups = [f"k{n}_" for n in range(len(keys))]
@@ -139,3 +140,14 @@ def reference_join_stream(
         opaque.unpack(F.col("telemetry_"), payload).alias("_t"),
         opaque.unpack(F.col("record_"), record).alias("_r"),
     ).select("_t.*", "_r.*")
+
+
+def waiting_state(
+    spark: SparkSession, checkpoint: str, telemetry: T.StructType
+) -> DataFrame:
+    """Telemetry now held by a query, read from its checkpoint's state store."""
+    held = (
+        spark.read.format("statestore").option("stateVarName", "pending").load(checkpoint)
+    )
+    row = opaque.unpack(F.col("list_element.telemetry"), telemetry)
+    return held.select(row.alias("_row")).select("_row.*")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 BOUNDED = {"availableNow": True}
@@ -12,6 +13,22 @@ BOUNDED = {"availableNow": True}
 STEADY = {"processingTime": "120 seconds"}
 
 
+@contextmanager
+def state_per_core(spark: SparkSession) -> Iterator[None]:
+    """Start a stateful query with one state partition per core of the cluster.
+
+    The number is fixed by a query's first start, and every partition costs a state
+    store and a Python worker per batch, whether it holds keys or not.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def start(
     df: DataFrame,
     name: str,

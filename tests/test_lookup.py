@@ -31,7 +31,12 @@ def customers(spark):
     return spark.createDataFrame(CUSTOMERS, schemas.CUSTOMER)
 
 
-STRATEGIES = [{}, {"broadcast_rows": 0}, {"broadcast_rows": 0, "salts": 3}]
+STRATEGIES = [
+    {},
+    {"broadcast_rows": 0},
+    {"broadcast_rows": 0, "salts": 3},
+    {"broadcast_rows": 0, "salts": 3, "hot_rows": 0},
+]
 
 
 def enrich(spark, customers, texts, **sizing):
@@ -75,6 +80,19 @@ def test_existing_fields_are_replaced(spark, customers):
     assert json.loads(enriched) == {"customer_id": 12, "kept": None, "z": [1, {"b": 2}], **DOZEN}
 
 
+def test_escaped_field_names_count(spark, customers):
+    text = '{"customer_id": 12, "customer\\u005fname": "old"}'
+    assert json.loads(enrich(spark, customers, [text])[0])["customer_name"] == "Dozen"
+    assert enrich(spark, customers, [text])[0].count("name") == 1
+
+
+def test_only_hot_keys_are_salted(spark, customers):
+    texts = [f'{{"customer_id": 12, "n": {n}}}' for n in range(30)]
+    texts += ['{"customer_id": 3}', '{"customer_id": 99}', "{bad"]
+    sizing = {"broadcast_rows": 0, "salts": 4, "hot_rows": 10}
+    assert enrich(spark, customers, texts, **sizing) == enrich(spark, customers, texts)
+
+
 def test_null_message_stays_null(spark, customers):
     assert enrich(spark, customers, [None]) == [None]
 

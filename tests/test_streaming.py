@@ -14,7 +14,7 @@ from rillflow.plans import jobs
 from rillflow.sinks import serving
 from rillflow.streaming import averages as stream_averages
 from rillflow.streaming import run
-from rillflow.streaming.reference import reference_join_stream
+from rillflow.streaming.reference import reference_join_stream, waiting_state
 
 START = datetime(2026, 5, 3, 20)
 
@@ -116,6 +116,17 @@ def test_reference_join_when_all_comes_at_once(spark, folder):
     assert {names[n] for n in range(1, 50)} == {"name 1 55"} and names[100] == "name 1 70"
 
 
+def test_held_rows_can_be_read(spark, folder):
+    telemetry, drivers = Feed(spark, folder(), TELEMETRY), Feed(spark, folder(), DRIVERS)
+    root = folder()
+    telemetry.land([spot(1, 1), spot(2, 2), spot(2, 3)])
+    drivers.land([driver(1, 5)])
+    drain(reference_join_stream(telemetry.stream(), drivers.stream(), salts=2), "join", root)
+    schema = spark.createDataFrame([], TELEMETRY).schema
+    held = waiting_state(spark, f"{root}/checkpoint/join", schema)
+    assert rows(held) == rows(spark.createDataFrame([spot(2, 2), spot(2, 3)], TELEMETRY))
+
+
 def test_running_average_stream_follows_the_batches(spark, folder):
     schema = "k string, n long, v double"
     feed, root = Feed(spark, folder(), schema), folder()
