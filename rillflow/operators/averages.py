@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from rillflow.plans.blocks import BLOCK, HOT, across_blocks, block_window, plan_blocks
 
 
-def total_average(df: DataFrame, keys: Sequence[str], value: str, out: str = "average") -> DataFrame:
+def total_average(
+    df: DataFrame, keys: Sequence[str], value: str, out: str = "average"
+) -> DataFrame:
     """One average per key; partial sums are formed before the shuffle."""
     return df.groupBy(*keys).agg(F.avg(value).alias(out))
 
@@ -49,7 +51,10 @@ def running_average(
     if opening is not None:
         # An opening has no place in the order, so it sorts first and into block 1.
         first = opening.select(
-            *keys, F.lit(0).alias("_row"), F.col("sum").alias("_sum"), F.col("count").alias("_count")
+            *keys,
+            F.lit(0).alias("_row"),
+            F.col("sum").alias("_sum"),
+            F.col("count").alias("_count"),
         )
         rows = rows.unionByName(first, allowMissingColumns=True)
     if plan is None:

@@ -47,7 +47,9 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     columns = []
     for field in schema.fields:
         column = F.col(field.name).cast(field.dataType)
-        columns.append((times.to_millis(column) if field.name == "date" else column).alias(field.name))
+        if field.name == "date":
+            column = times.to_millis(column)
+        columns.append(column.alias(field.name))
     return df.select(*columns)
 
 

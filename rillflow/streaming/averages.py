@@ -154,7 +154,8 @@ def running_average_batches(
 
     The (count, sum) of every key so far is kept below ``sums_path``, one folder per
     batch. A batch that runs again finds the sums of the one before it and overwrites
-    its own, so a retry gives the same rows.
+    its own, so a retry gives the same rows. Folders before the last two batches are no
+    longer read.
     """
 
     def average(batch: DataFrame, batch_id: int) -> None:
@@ -203,12 +204,14 @@ def inactivity_average_stream(
     """Average so far of every key that stays silent for the gap, by event time.
 
     Rows are summed per key before the shuffle, so a hot key sends one row per Arrow
-    batch to its state. Timers follow the watermark. A bounded run therefore ends before the timers of the
-    newest records are due; use the batch operator for bounded data.
+    batch to its state. Timers follow the watermark. A bounded run therefore ends before
+    the timers of the newest records are due; use the batch operator for bounded data.
     """
     names = _group_names(keys)
     key_fields = [T.StructField(name, df.schema[key].dataType) for name, key in zip(names, keys)]
-    parts = T.StructType([*key_fields, *columns("micros_ long, value_ double, count_ long").fields])
+    parts = T.StructType(
+        [*key_fields, *columns("micros_ long, value_ double, count_ long").fields]
+    )
     emitted = (
         df.filter(F.col(event_time).isNotNull())
         .withColumns({"micros_": F.unix_micros(event_time), **_measured(value)})
