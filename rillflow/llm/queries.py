@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import quality
+from rillflow.llm import bpe, quality, token_counts
 from rillflow.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +75,22 @@ FROM e"""
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line-first cleaning of all documents: the counts and the verdict of each."""
     return quality.line_quality(documents(spark, sf_dir)).drop("clean_text")
+
+
+@register("op5_byte_bpe")
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded again: counts and digests."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, path).select(
+        "doc_id", "n_tokens",
+        F.sha2("tokens", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@register("op7_token_counts")
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents."""
+    return token_counts.count_tokens(
+        documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model")
+    )
