@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import bpe, quality, token_counts
+from rillflow.llm import bpe, fixity, lines, mixing, quality, token_counts
 from rillflow.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +94,132 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(
         documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model")
     )
+
+
+@register("op1_line_dedup")
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated chunks of lines removed from all documents: what is left of each."""
+    clean = lines.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return clean.select(
+        "doc_id", "n_lines", "n_removed_lines", F.length("clean_text").cast("long").alias("n_chars_left"),
+        F.sha2("clean_text", 256).alias("clean_sha256"),
+    )
+
+
+MIX_LEVELS = ["domain", "lang", "source"]
+MIX_WEIGHTS = {
+    ("web",): 4.0, ("books",): 3.0, ("code",): 2.0, ("talk",): 1.0,
+    ("web", "en"): 2.0, ("books", "en"): 3.0, ("talk", "es"): 0.0,
+}
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.6, 3, 7
+
+_WEIGHT_ROWS = ", ".join(
+    f"({quoted(chr(31).join(names))}, {weight}::DOUBLE)" for names, weight in MIX_WEIGHTS.items()
+)
+
+
+def _shared_sql(name: str, above: str, parent: str, path: str) -> str:
+    """One step of the budgets down the tree, as in mixing.shared."""
+    return f"""
+{name}_n AS (SELECT {parent} AS parent, {path} AS path, sum(capacity)::DOUBLE AS capacity
+  FROM leaves GROUP BY ALL),
+{name}_w AS (SELECT n.*, coalesce(w.weight, 1) AS weight, a.budget AS parent_budget
+  FROM {name}_n n JOIN {above} a ON a.path = n.parent LEFT JOIN weights w ON w.path = n.path),
+{name}_f AS (SELECT *, coalesce(capacity / nullif(weight, 0), 'infinity'::DOUBLE) AS fill
+  FROM {name}_w),
+{name}_c AS (SELECT *, sum(capacity) OVER o AS cap_so_far,
+    sum(weight) OVER (PARTITION BY parent) - sum(weight) OVER o AS weight_left FROM {name}_f
+  WINDOW o AS (PARTITION BY parent ORDER BY fill, path ROWS UNBOUNDED PRECEDING)),
+{name}_u AS (SELECT *, weight > 0 AND cap_so_far + fill * greatest(weight_left, 0)
+    <= parent_budget + 1e-6 AS is_full FROM {name}_c),
+{name}_t AS (SELECT *, coalesce(sum(capacity) FILTER (is_full) OVER p, 0) AS taken,
+    sum(weight) FILTER (NOT is_full) OVER p AS open_weight FROM {name}_u
+  WINDOW p AS (PARTITION BY parent)),
+{name} AS (SELECT path, CASE WHEN is_full THEN capacity ELSE least(capacity, coalesce(
+    (parent_budget - taken) * weight / nullif(open_weight, 0), 0)) END AS budget FROM {name}_t)"""
+
+
+MIX_SQL = f"""
+WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t,
+    ['web', 'books', 'code', 'talk'][CAST(regexp_extract(source, '[0-9]+') AS INT) % 4 + 1] AS domain,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS tokens FROM documents),
+k AS (SELECT *, domain AS p1, concat_ws(chr(31), domain, lang) AS p2,
+    concat_ws(chr(31), domain, lang, source) AS p3 FROM d),
+leaves AS (SELECT p1, p2, p3, sum(tokens) AS available, sum(tokens) * {MIX_EPOCHS} AS capacity
+  FROM k GROUP BY ALL),
+weights(path, weight) AS (VALUES {_WEIGHT_ROWS}),
+root AS (SELECT '' AS path, least(floor(sum(available) * {MIX_SHARE}::DOUBLE), sum(capacity))
+  AS budget FROM leaves),{_shared_sql("l1", "root", "''", "p1")},{_shared_sql("l2", "l1", "p1", "p2")},
+{_shared_sql("l3", "l2", "p2", "p3")},
+plan AS (SELECT p3, available, CAST(floor(l3.budget + 1e-6) AS BIGINT) AS b,
+    coalesce(CAST(floor(l3.budget + 1e-6) AS BIGINT) // nullif(available, 0), 0) AS epochs
+  FROM leaves JOIN l3 ON l3.path = p3),
+o AS (SELECT k.*, epochs, b - epochs * available AS rest,
+    md5({quoted(str(MIX_SEED))} || ':' || epochs || ':' || doc_id || ':' || md5(t)) AS key
+  FROM k JOIN plan USING (p3)),
+s AS (SELECT *, sum(tokens) OVER (PARTITION BY p3 ORDER BY key) AS so_far FROM o)
+SELECT doc_id, p3 AS path, tokens AS n_tokens,
+  CAST(epochs + CAST(so_far <= rest AS INT) AS BIGINT) AS copies FROM s"""
+
+
+def with_domain(docs: DataFrame) -> DataFrame:
+    """Documents with a domain, which stands for the kind of site behind the source."""
+    kinds = F.array(*map(F.lit, ["web", "books", "code", "talk"]))
+    return docs.withColumn("domain", F.get(kinds, F.expr(
+        "CAST(nullif(regexp_extract(source, '[0-9]+', 0), '') AS INT) % 4"
+    )))
+
+
+@register("op2_source_mixing", MIX_SQL)
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of every document under target weights of domains, languages and sources."""
+    mixed = mixing.mix(
+        with_domain(documents(spark, sf_dir)), MIX_LEVELS, MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED
+    )
+    return mixed.select(
+        "doc_id", F.col("mix_path").alias("path"), F.col("mix_tokens").alias("n_tokens"),
+        F.col("mix_copies").alias("copies"),
+    )
+
+
+FIXITY_SQL = """
+WITH p AS (SELECT *, 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10)
+    || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Length: ' AS head,
+    coalesce(html, '') AS body FROM pages),
+r AS (SELECT page_id, strlen(head) + strlen(strlen(body)::VARCHAR) + strlen(body) + 8 AS bytes,
+    CASE WHEN page_id % 101 = 7 THEN body || '!' WHEN page_id % 89 = 3 THEN '' ELSE body END AS b2,
+    strlen(head) AS h, page_id % 211 = 5 AS is_missing, page_id % 101 = 7 OR (page_id % 89 = 3
+    AND body <> '') AS is_changed FROM p)
+SELECT page_id, bytes, CASE WHEN NOT is_missing THEN h + strlen(strlen(b2)::VARCHAR) + strlen(b2) + 8 END
+  AS other_bytes, CASE WHEN is_missing THEN 'missing' ELSE 'changed' END AS problem
+FROM r WHERE is_missing OR is_changed"""
+
+
+def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as WARC records: a volume per file, in the order of its rows."""
+    return spark.read.parquet(f"{sf_dir}/pages.parquet").select(
+        "page_id", "url", "html", F.col("_metadata.file_name").alias("volume"),
+        F.col("_metadata.row_index").alias("ordinal"),
+    )
+
+
+@register("op3_warc_fixity", FIXITY_SQL)
+def op3_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of pages that a damaged replica has changed or lost.
+
+    The replica is derived from all pages: some get a byte more, some lose their payload,
+    some are gone.
+    """
+    pages = page_records(spark, sf_dir)
+    damaged = pages.filter("page_id % 211 <> 5 OR page_id IS NULL").withColumn("html", F.expr(
+        "CASE WHEN page_id % 101 = 7 THEN coalesce(html, '') || '!' WHEN page_id % 89 = 3 THEN '' "
+        "ELSE html END"
+    ))
+    trees = [
+        fixity.tree(replica.withColumn("record", fixity.warc_record(F.col("url"), F.col("html"))))
+        for replica in (pages, damaged)
+    ]
+    found = fixity.audit(*trees).withColumnRenamed("at", "ordinal").withColumnRenamed("volume_", "volume")
+    return pages.select("page_id", "volume", "ordinal").join(found, ["volume", "ordinal"]).select(
+        "page_id", "bytes", "other_bytes", "problem"
+    )
