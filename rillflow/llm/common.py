@@ -131,6 +131,18 @@ def word_hashes(data: np.ndarray, at: np.ndarray, lower: bool = True
     texts = len(at) - 1
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(texts, np.int64)
+    if texts == 1 and len(data) > 2 * SLICE_BYTES:
+        # One very long text: in pieces that end at gaps, so that memory stays bounded.
+        gaps = np.flatnonzero(_IS_GAP[data])
+        wanted = np.arange(SLICE_BYTES, len(data), SLICE_BYTES)
+        cuts = gaps[np.minimum(np.searchsorted(gaps, wanted), len(gaps) - 1)] if len(gaps) else []
+        bounds = np.unique(np.r_[0, cuts, len(data)]).astype(np.int64)
+        if len(bounds) > 2:
+            found = np.concatenate([
+                word_hashes(data[a:b], np.array([0, b - a]), lower)[0]
+                for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())
+            ])
+            return found, np.array([len(found)], np.int64)
     if lower:
         data = _LOWER[data]
     solid = np.empty(len(data) + 2, bool)

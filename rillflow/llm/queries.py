@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import bpe, fixity, lines, mixing, quality, token_counts
+from rillflow.llm import bpe, fixity, jaccard, lines, mixing, quality, token_counts
 from rillflow.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -223,3 +223,9 @@ def op3_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "volume", "ordinal").join(found, ["volume", "ordinal"]).select(
         "page_id", "bytes", "other_bytes", "problem"
     )
+
+
+@register("op4_ngram_jaccard_join")
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of all documents linked by 4-word shingles at a similarity of 0.85."""
+    return jaccard.jaccard_components(documents(spark, sf_dir), words=4, num=85, den=100)
