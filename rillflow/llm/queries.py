@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import bpe, fixity, jaccard, lines, mixing, quality, token_counts
+from rillflow.llm import bpe, fixity, jaccard, lines, mixing, quality, token_counts, vectors
 from rillflow.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -229,3 +229,24 @@ def op3_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of all documents linked by 4-word shingles at a similarity of 0.85."""
     return jaccard.jaccard_components(documents(spark, sf_dir), words=4, num=85, den=100)
+
+
+VECTORS_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding,
+    lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+u AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS norm FROM v),
+l AS (SELECT x.vec_id AS a, y.vec_id AS b FROM u x JOIN u y ON x.label = y.label
+  AND x.vec_id <> y.vec_id AND list_dot_product(x.e, y.e) / (x.norm * y.norm) >= 0.98),
+r AS (SELECT vec_id AS id, vec_id AS reached FROM embeddings
+  UNION SELECT r.id, l.b FROM r JOIN l ON l.a = r.reached),
+c AS (SELECT id, min(reached) AS component_id FROM r GROUP BY id),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT id AS vec_id, coalesce(n, 0) AS n_links, component_id, id = component_id AS kept
+FROM c LEFT JOIN n ON n.a = c.id"""
+
+
+@register("op6_embedding_near_dedup", VECTORS_SQL)
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and classes of all vectors with a cosine of 0.98 or more under equal labels."""
+    return vectors.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
