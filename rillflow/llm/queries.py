@@ -8,8 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import bpe, fixity, jaccard, lines, mixing, quality, token_counts, vectors
-from rillflow.llm.common import documents
+from rillflow.llm import (
+    bpe,
+    fixity,
+    jaccard,
+    languages,
+    lines,
+    mixing,
+    quality,
+    token_counts,
+    vectors,
+)
+from rillflow.llm.common import crc_remainder, documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -250,3 +260,14 @@ FROM c LEFT JOIN n ON n.a = c.id"""
 def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and classes of all vectors with a cosine of 0.98 or more under equal labels."""
     return vectors.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@register("op8_language_id")
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of all documents, learned from three quarters of them."""
+    docs = documents(spark, sf_dir)
+    held_out = crc_remainder("doc_id", 4) == 2
+    machines = languages.train(docs, ~held_out, "doc_id", "text", "lang")
+    return languages.identify(docs, machines).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
