@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rillflow.llm import (
     bpe,
     fixity,
+    hidden_markov,
     jaccard,
     languages,
     lines,
@@ -271,3 +272,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.identify(docs, machines).select(
         "doc_id", held_out.alias("held_out"), "lang_pred", "score"
     )
+
+
+@register("op10_lm_scoring")
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by word counts and a hidden Markov model of four fifths of them."""
+    docs = documents(spark, sf_dir)
+    return hidden_markov.score_texts(docs, crc_remainder("doc_id", 5) == 1)
