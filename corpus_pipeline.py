@@ -1,16 +1,86 @@
-"""The corpus pipeline: stages over documents, each calling one operator of rillflow.llm."""
+"""The corpus pipeline: five stages over documents, each by one operator of rillflow.llm.
+
+A stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept. All but the
+last return the columns of documents.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rillflow.llm import bpe, jaccard, languages, lines, mixing
+from rillflow.llm.common import held
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Under this score a language is a guess; the text goes.
+LEAST_SCORE = 0.1
+LEVELS = ["lang", "source"]
+#: English and German get twice the share of the others.
+WEIGHTS = {("en",): 2.0, ("de",): 2.0}
+SHARE, EPOCHS, SEED = 0.9, 2, 17
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts get the language found in them; those without one go (null, no letters, a guess)."""
+    machines = languages.train(docs, F.lit(True), "doc_id", "text", "lang")
+    found = languages.identify(docs.select(COLUMNS), machines, keep=tuple(COLUMNS))
+    return found.filter((F.col("lang_pred") != languages.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)) \
+        .withColumn("lang", F.col("lang_pred")).select(COLUMNS)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated chunks of lines are taken out; texts of which nothing is left go."""
+    clean = lines.dedup_lines(docs.select(COLUMNS))
+    left = (F.col("n_removed_lines") == 0) | F.col("clean_text").rlike(r"\S")
+    return clean.filter(left).select(
+        "doc_id", F.col("clean_text").alias("text"), "lang", "source",
+        F.length("clean_text").cast("long").alias("n_chars"),
+    )
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays (five words, similarity 0.8)."""
+    return jaccard.one_per_component(docs.select(COLUMNS), words=5, num=80, den=100)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources mixed to target weights: documents come as often as their leaf's epochs say."""
+    mixed = mixing.mix(docs.select(COLUMNS), LEVELS, WEIGHTS, SHARE, EPOCHS, SEED)
+    return mixed.filter("mix_copies > 0").withColumn(
+        "copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies")))
+    ).select(COLUMNS)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The ids of every text, and the digest of the bytes they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN, keep=("lang", "source", "n_chars"))
+    return bpe.decode(encoded, path).withColumn(
+        "decoded_sha256", F.sha2("decoded", 256)
+    ).drop("decoded")
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("near_duplicates", near_duplicates),
+    ("source_mixing", source_mixing),
+    ("encoding", encoding),
+]
 
-STAGES: list = []
+#: Linear machines, chunk hashes and components are beyond SQL; tests compare with plain code.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages applied to documents."""
+    """All stages applied to documents; what a stage returns is written before the next reads it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = held(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -356,10 +356,13 @@ def _across_parts(many: DataFrame, num: int, den: int, task_tokens: int) -> Data
 
 def jaccard_components(
     docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
-    text_col: str = "text", task_tokens: int = TASK_TOKENS,
+    text_col: str = "text", task_tokens: int = TASK_TOKENS, with_hash: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: its id, n_shingles and component_id.
 
+    ``with_hash`` adds text_hash_, the xxhash64 of the text, which tells apart rows whose
+    ids are equal or null.
+
     Words are lower-cased in A-Z and part at ASCII white space. Two texts link if their sets
     of ``words``-grams have a similarity of num / den or more; ``component_id`` is the
     smallest id reachable by links. All links count: candidates are complete and no class,
@@ -398,10 +401,28 @@ def jaccard_components(
     name = F.concat(*[F.lower(F.lpad(F.hex(c), 16, "0")) for c in ("f1", "f2")])
     named = index.withColumn("name", name).join(
         labels.withColumnRenamed("set", "name"), "name", "left"
-    ).select("id_", "n", F.coalesce("label", "name").alias("label"))
+    ).select("id_", "text_hash_", "n", F.coalesce("label", "name").alias("label"))
     named = held(named, "named")
     smallest = named.filter("n > 0").groupBy("label").agg(F.min("id_").alias("smallest"))
     return named.join(smallest, "label", "left").select(
         F.col("id_").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("id_")).otherwise(F.col("smallest")).alias("component_id"),
+        *(["text_hash_"] if with_hash else []),
+    )
+
+
+def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
+                      ) -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of their component.
+
+    Rows of null id stay only in components without any id. Equal rows stay together. An
+    input column named keep_id_ or keep_hash_ is not allowed.
+    """
+    found = jaccard_components(docs, id_col=id_col, text_col=text_col, with_hash=True, **options)
+    kept = found.filter(F.col("component_id").eqNullSafe(F.col(id_col))).select(
+        F.col(id_col).alias("keep_id_"), F.col("text_hash_").alias("keep_hash_")
+    )
+    return docs.join(
+        kept, F.col(id_col).eqNullSafe(F.col("keep_id_"))
+        & (F.xxhash64(F.col(text_col)) == F.col("keep_hash_")), "left_semi",
     )
