@@ -124,8 +124,13 @@ def repeated_chunks(docs: DataFrame, found: DataFrame, id_col: str, text_col: st
     places = found.select("id_", "text_hash_", F.explode("chunks").alias("c")).select(
         "id_", "text_hash_", "c.*"
     )
-    twice = places.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1")
-    likely = held(places.join(twice.select("h1", "h2"), ["h1", "h2"]), "likely")
+    # Tables of one row per hash are held, so that Spark deals both sides of the joins anew
+    # and can split the rows of a chunk that a large part of the texts share.
+    twice = held(
+        places.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("h1", "h2"),
+        "twice",
+    )
+    likely = held(places.join(twice, ["h1", "h2"]), "likely")
     lists = likely.groupBy("id_", "text_hash_").agg(
         F.collect_set(F.struct("h1", "h2", "first_line", "n_lines")).alias("likely")
     )
@@ -139,9 +144,9 @@ def repeated_chunks(docs: DataFrame, found: DataFrame, id_col: str, text_col: st
     by_bytes = pieces.select("id_", "text_hash_", "c.*").groupBy("h1", "h2", "bytes").agg(
         F.min(F.struct("id_", "text_hash_", "first_line")).alias("first")
     )
-    proven = by_bytes.groupBy("h1", "h2").agg(
+    proven = held(by_bytes.groupBy("h1", "h2").agg(
         F.count("*").alias("variants"), F.min("first").alias("first")
-    ).filter("variants = 1")
+    ).filter("variants = 1").select("h1", "h2", "first"), "proven")
     return likely.join(proven, ["h1", "h2"]).filter(
         F.struct("id_", "text_hash_", "first_line") != F.col("first")
     ).groupBy("id_", "text_hash_").agg(
