@@ -26,10 +26,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillflow.llm.common import (
+    as_row,
     chained,
     components,
     held,
     mixed,
+    row_columns,
     slices,
     text_parts,
     word_hashes,
@@ -212,10 +214,15 @@ def candidate_classes(docs: DataFrame, words: int, num: int, den: int) -> DataFr
     would, with one edge per set and part.
     """
     marks = _index(docs, words, num, den, True).select("f1", F.explode("marks").alias("mark"))
-    shared = marks.groupBy("mark").agg(F.min("f1").alias("lead"), F.max("f1").alias("last"))
-    edges = marks.join(shared.filter("lead <> last").select("mark", "lead"), "mark").filter(
-        "f1 <> lead"
-    ).select(F.col("f1").alias("a"), F.col("lead").alias("b")).distinct()
+    # Held, so that Spark deals both sides of the join anew and can split a frequent part.
+    shared = held(
+        marks.groupBy("mark").agg(F.min("f1").alias("lead"), F.max("f1").alias("last"))
+        .filter("lead <> last").select("mark", "lead"), "shared",
+    )
+    # Both sides grow with the corpus: merged at every size, never broadcast.
+    edges = marks.join(shared.hint("merge"), "mark").filter("f1 <> lead").select(
+        F.col("f1").alias("a"), F.col("lead").alias("b")
+    ).distinct()
     return components(edges)
 
 
@@ -391,7 +398,7 @@ def jaccard_components(
         F.col("id_").alias("m_id"), F.col("text_hash_").alias("m_hash"),
     )
     wanted = texts.join(
-        members, F.col("id_").eqNullSafe(F.col("m_id")) & (F.col("text_hash_") == F.col("m_hash"))
+        members.hint("merge"), F.col("id_").eqNullSafe(F.col("m_id")) & (F.col("text_hash_") == F.col("m_hash"))
     ).select("class", "part", "parts", "text_")
     labelled = held(_label_tasks(wanted, words, num, den), "labelled")
     many = labelled.filter("parts > 1")
@@ -403,7 +410,9 @@ def jaccard_components(
         labels.withColumnRenamed("set", "name"), "name", "left"
     ).select("id_", "text_hash_", "n", F.coalesce("label", "name").alias("label"))
     named = held(named, "named")
-    smallest = named.filter("n > 0").groupBy("label").agg(F.min("id_").alias("smallest"))
+    smallest = held(
+        named.filter("n > 0").groupBy("label").agg(F.min("id_").alias("smallest")), "smallest"
+    )
     return named.join(smallest, "label", "left").select(
         F.col("id_").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("id_")).otherwise(F.col("smallest")).alias("component_id"),
@@ -415,14 +424,15 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                       ) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of their component.
 
-    Rows of null id stay only in components without any id. Equal rows stay together. An
-    input column named keep_id_ or keep_hash_ is not allowed.
+    Rows of null id stay only in components without any id. Equal rows stay together.
     """
     found = jaccard_components(docs, id_col=id_col, text_col=text_col, with_hash=True, **options)
     kept = found.filter(F.col("component_id").eqNullSafe(F.col(id_col))).select(
         F.col(id_col).alias("keep_id_"), F.col("text_hash_").alias("keep_hash_")
     )
-    return docs.join(
-        kept, F.col(id_col).eqNullSafe(F.col("keep_id_"))
-        & (F.xxhash64(F.col(text_col)) == F.col("keep_hash_")), "left_semi",
-    )
+    rows = as_row(docs)
+    doc_id, text = (F.col("row_").getField(name) for name in (id_col, text_col))
+    return rows.join(
+        kept, doc_id.eqNullSafe(F.col("keep_id_")) & (F.xxhash64(text) == F.col("keep_hash_")),
+        "left_semi",
+    ).select(*row_columns(rows))
