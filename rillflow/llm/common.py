@@ -45,6 +45,19 @@ def text_key(id_col: str, text_col: str) -> list[Column]:
     return [F.col(id_col).alias("id_"), F.xxhash64(F.col(text_col)).alias("text_hash_")]
 
 
+def as_row(df: DataFrame, *dropped: str) -> DataFrame:
+    """All columns of ``df`` but ``dropped`` in one struct ``row_``.
+
+    Joins that add columns can then not clash with columns that only pass through.
+    """
+    return df.select(F.struct(*[df[f"`{c}`"] for c in df.columns if c not in dropped]).alias("row_"))
+
+
+def row_columns(df: DataFrame) -> list[Column]:
+    """The columns packed by ``as_row``."""
+    return [F.col("row_").getField(name).alias(name) for name in df.schema["row_"].dataType.names]
+
+
 def crc_remainder(id_col: str, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % parts

@@ -1,7 +1,8 @@
 """Line dedup by content-defined chunks of lines.
 
-A rolling hash over the hashes of the last lines decides where a chunk ends, so the same
-lines part in the same places wherever they stand. Chunks of several lines that were seen
+A rolling hash over the hashes of the last lines decides where a chunk ends: where it is
+smallest among its neighbours. So the same lines part in the same places wherever they
+stand, and no chunk inside a text is shorter than two lines. Chunks of several lines that were seen
 before, byte for byte, are taken out everywhere but at their first place.
 """
 
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rillflow.llm.common import held, slices
+from rillflow.llm.common import as_row, held, row_columns, slices
 
 #: Half-open ranges of lines, and two independent 64-bit hashes of the joined lines.
 CHUNK = T.StructType([
@@ -27,13 +28,14 @@ CHUNK = T.StructType([
 ])
 
 
-def chunk_ends(hashes: list[int], window: int, divisor: int, most: int) -> list[int]:
+def chunk_ends(hashes: list[int], window: int, reach: int, most: int) -> list[int]:
     """Line numbers after which chunks end.
 
     A chunk ends after a line where the rolling hash of the last ``window`` lines (fewer at
-    the start of a text) is divisible by ``divisor``. Where that would leave more than
-    ``most`` lines, it ends after the line of the smallest hash among them, which depends
-    on content as well.
+    the start of a text) is smaller than at the ``reach`` lines before and not larger than
+    at the ``reach`` lines after, so ends are more than ``reach`` lines apart. Where that
+    would leave more than ``most`` lines, it ends after the line of the smallest rolling
+    hash among them, which depends on content as well.
     """
     n = len(hashes)
     if not n:
@@ -45,7 +47,12 @@ def chunk_ends(hashes: list[int], window: int, divisor: int, most: int) -> list[
             if back < n:
                 rolling[back:] += line[:n - back] * np.uint64((2 * back + 3) ** 7 | 1)
         rolling ^= rolling >> np.uint64(32)
-    cuts = (np.flatnonzero(rolling % np.uint64(divisor) == 0) + 1).tolist()
+    low = np.ones(n, bool)
+    low[:reach] = False
+    for step in range(1, reach + 1):
+        low[step:] &= rolling[step:] < rolling[:n - step]
+        low[:n - step] &= rolling[:n - step] <= rolling[step:]
+    cuts = (np.flatnonzero(low) + 1).tolist()
     if not cuts or cuts[-1] != n:
         cuts.append(n)
     ends, start = [], 0
@@ -58,15 +65,15 @@ def chunk_ends(hashes: list[int], window: int, divisor: int, most: int) -> list[
     return ends
 
 
-def _chunks_of(lines: list[bytes], window: int, divisor: int, most: int):
+def _chunks_of(lines: list[bytes], window: int, reach: int, most: int):
     hashes = [xxhash.xxh64_intdigest(line) for line in lines]
     start = 0
-    for end in chunk_ends(hashes, window, divisor, most):
+    for end in chunk_ends(hashes, window, reach, most):
         yield start, end
         start = end
 
 
-def chunked(docs: DataFrame, id_col: str, text_col: str, window: int, divisor: int, most: int,
+def chunked(docs: DataFrame, id_col: str, text_col: str, window: int, reach: int, most: int,
             min_lines: int) -> DataFrame:
     """Rows (id_, text_hash_, chunks): the chunks of several lines that can repeat.
 
@@ -85,7 +92,7 @@ def chunked(docs: DataFrame, id_col: str, text_col: str, window: int, divisor: i
             for text in batch.column("text_").to_pylist():
                 own = []
                 lines = text.encode().split(b"\n") if text else []
-                for start, end in _chunks_of(lines, window, divisor, most):
+                for start, end in _chunks_of(lines, window, reach, most):
                     if sum(1 for line in lines[start:end] if line.strip()) < min_lines:
                         continue
                     joined = b"\n".join(lines[start:end])
@@ -167,7 +174,7 @@ def _with_text(text, likely):
 
 def dedup_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 2,
-    divisor: int = 3, most: int = 24, min_lines: int = 2,
+    reach: int = 1, most: int = 24, min_lines: int = 2,
 ) -> DataFrame:
     """``docs`` with ``clean_text``, ``n_lines`` and ``n_removed_lines``.
 
@@ -180,28 +187,28 @@ def dedup_lines(
     Input columns of the three names are replaced, others pass through; no row is dropped.
     """
     found = held(
-        chunked(docs, id_col, text_col, window, divisor, most, min_lines)
+        chunked(docs, id_col, text_col, window, reach, most, min_lines)
         .filter(F.size("chunks") > 0), "chunks",
     )
     gone = repeated_chunks(docs, found, id_col, text_col)
-    names = [c for c in docs.columns if c not in ("clean_text", "n_lines", "n_removed_lines")]
-    texts = docs.select(*names).withColumn("doc_hash_", F.xxhash64(text_col))
-    joined = texts.join(
-        gone, F.col(id_col).eqNullSafe(F.col("id_")) & (F.col("doc_hash_") == F.col("text_hash_")),
-        "left",
+    texts = as_row(docs, "clean_text", "n_lines", "n_removed_lines")
+    text = F.col("row_").getField(text_col)
+    joined = texts.withColumn("doc_hash_", F.xxhash64(text)).join(
+        gone, F.col("row_").getField(id_col).eqNullSafe(F.col("id_"))
+        & (F.col("doc_hash_") == F.col("text_hash_")), "left",
     )
     lost = F.coalesce(F.flatten(F.transform("gone", lambda r: F.sequence(
         r["first_line"], r["first_line"] + r["n_lines"] - 1
     ))), F.array().cast("array<int>"))
-    left = F.transform(F.array(F.split(F.col(text_col), "\n")), lambda lines: F.array_join(
+    left = F.transform(F.array(F.split(text, "\n")), lambda lines: F.array_join(
         F.transform(
             F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), lost),
             lambda at: F.get(lines, at),
         ), "\n",
     ))[0]
-    n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(F.split(F.col(text_col), "\n")))
+    n_lines = F.when(text.isNull(), 0).otherwise(F.size(F.split(text, "\n")))
     return joined.select(
-        *names,
-        F.when(F.col("gone").isNull(), F.col(text_col)).otherwise(left).alias("clean_text"),
+        *row_columns(joined),
+        F.when(F.col("gone").isNull(), text).otherwise(left).alias("clean_text"),
         n_lines.cast("long").alias("n_lines"), F.size(lost).cast("long").alias("n_removed_lines"),
     )

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import held
+from rillflow.llm.common import as_row, held, row_columns
 from rillflow.llm.quality import words_of
 
 PARTED = "\x1f"
@@ -133,10 +133,11 @@ def mix_plan(docs: DataFrame, levels: list[str], weights: dict[tuple, float], sh
     leading digits, so that no window holds more than a few thousand groups of a leaf.
     """
     slim = held(docs.select(
-        *levels, path_of(levels, len(levels)).alias("path"), F.col(id_col).alias("id_"),
+        *[F.col(level).alias(f"level{i}") for i, level in enumerate(levels)], path_of(levels, len(levels)).alias("path"), F.col(id_col).alias("id_"),
         F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("text_md5"),
         F.size(words_of(F.col(text_col))).cast("long").alias("tokens"),
     ), "counts")
+    levels = [f"level{i}" for i in range(len(levels))]
     leaves = slim.groupBy(*levels).agg(F.sum("tokens").alias("available"))
     plan = held(
         leaf_budgets(leaves, levels, weights, share, max_epochs).select(
@@ -188,13 +189,16 @@ def mix(
     are replaced; other columns pass through. No table, leaf or epoch need hold rows.
     """
     plan = mix_plan(docs, levels, weights, share, max_epochs, seed, id_col, text_col).select(
-        F.col("path").alias("mix_path"), F.col("epochs").alias("epochs_"), F.col("cut").alias("cut_")
+        F.col("path").alias("plan_path"), F.col("epochs").alias("epochs_"), F.col("cut").alias("cut_")
     )
-    names = [name for name in docs.columns if name not in ("mix_path", "mix_tokens", "mix_copies")]
-    keyed = docs.withColumn("mix_path", path_of(levels, len(levels)))
-    key = order_key(seed, F.col("epochs_"), F.col(id_col), F.md5(F.coalesce(F.col(text_col), F.lit(""))))
-    return keyed.join(plan, "mix_path").select(
-        *names, "mix_path", F.size(words_of(F.col(text_col))).cast("long").alias("mix_tokens"),
+    keyed = as_row(
+        docs.withColumn("mix_path", path_of(levels, len(levels))), "mix_tokens", "mix_copies"
+    ).withColumn("path_", F.col("row_").getField("mix_path"))
+    doc_id, text = (F.col("row_").getField(name) for name in (id_col, text_col))
+    key = order_key(seed, F.col("epochs_"), doc_id, F.md5(F.coalesce(text, F.lit(""))))
+    joined = keyed.join(plan, F.col("path_") == F.col("plan_path"))
+    return joined.select(
+        *row_columns(joined), F.size(words_of(text)).cast("long").alias("mix_tokens"),
         (F.col("epochs_") + F.coalesce(key <= F.col("cut_"), F.lit(False)).cast("long"))
         .alias("mix_copies"),
     )

@@ -118,14 +118,15 @@ def _any_of(phrases: list[str]) -> str:
 
 ENDED = r"""[.!?:;。！？…]["')\]”’»]*$"""
 MARK = r"[!-/:-@\[-`{-~]"
+FEW_MARKS = 3
 MENU_MARK = r"[|»›•·]"
 
 
 def line_fails(line: Column, min_words: int = 4, max_marks: float = 0.2) -> Column:
     """Whether a line with words fails a rule.
 
-    Punctuation: it has under ``min_words`` words and no sentence end, or more than
-    ``max_marks`` of its characters are ASCII punctuation. Navigation: three menu marks, or
+    Punctuation: it has under ``min_words`` words and no sentence end, or over ``FEW_MARKS``
+    and over ``max_marks`` of its characters are ASCII punctuation. Navigation: three menu marks, or
     under eight words that open with a menu word and reach no sentence end. Boilerplate: it
     holds a notice phrase.
     """
@@ -134,7 +135,9 @@ def line_fails(line: Column, min_words: int = 4, max_marks: float = 0.2) -> Colu
         ended = bare.rlike(ENDED)
         opens = lowered.rlike(f"^({_any_of(NAVIGATION)})([^a-z]|$)")
         return (
-            (F.regexp_count(bare, F.lit(MARK)) > max_marks * F.length(bare))
+            (F.regexp_count(bare, F.lit(MARK)) > F.greatest(
+                F.lit(FEW_MARKS), F.lit(max_marks) * F.length(bare)
+            ))
             | (~ended & ((n_words < min_words) | ((n_words < 8) & opens)))
             | (F.regexp_count(bare, F.lit(MENU_MARK)) >= 3)
             | _holds(lowered, BOILERPLATE)

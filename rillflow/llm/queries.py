@@ -61,7 +61,7 @@ f AS (SELECT *, bare <> '' AS solid, len(regexp_split_to_array(bare, '[\\x20\\x0
 v AS (SELECT *, solid AND (
         (n < 4 AND NOT ended)
         OR length(bare) - length(regexp_replace(bare, {quoted(quality.MARK)}, '', 'g'))
-           > 0.2::DOUBLE * length(bare)
+           > greatest({quality.FEW_MARKS}, 0.2::DOUBLE * length(bare))
         OR length(bare) - length(regexp_replace(bare, {quoted(quality.MENU_MARK)}, '', 'g')) >= 3
         OR (n < 8 AND NOT ended AND regexp_matches(lower(bare),
             {quoted(f"^({quality._any_of(quality.NAVIGATION)})([^a-z]|$)")}))
