@@ -20,13 +20,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillflow.llm.common import held, slices, text_parts, word_hashes
 
 #: Text bytes in a block, about.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
+#: Tokens of the sequences that forward and backward passes take at a time, about.
+PASS_TOKENS = 300_000
 #: Word classes; the end of a text is a class of its own after them.
 CLASSES = 4096
 STATES = 6
@@ -57,14 +60,21 @@ def packed(docs: DataFrame, id_col: str, text_col: str, held_out: Column) -> Dat
             counts.append(n + 1)
             ids += batch.column("id_").to_pylist()
             out += batch.column("held_out").to_pylist()
-        words, tokens = np.unique(np.concatenate(hashes), return_inverse=True)
+        words, tokens, uses = np.unique(
+            np.concatenate(hashes), return_inverse=True, return_counts=True
+        )
+        # Frequent words get small places, which compress best.
+        order = np.argsort(-uses, kind="stable")
+        place = np.empty(len(order), np.uint32)
+        place[order] = np.arange(len(order), dtype=np.uint32)
+        words, tokens = words[order], place[tokens]
         block = (TaskContext.get().partitionId() << 24) + number
         return pa.RecordBatch.from_arrays([
             pa.array([block], pa.int64()), pa.array([ids], pa.list_(parts[0].column("id_").type)),
             pa.array([out], pa.list_(pa.bool_())),
             pa.array([np.concatenate(counts).astype(np.int64).tobytes()], pa.binary()),
             pa.array([words.tobytes()], pa.binary()),
-            pa.array([tokens.astype(np.uint32).tobytes()], pa.binary()),
+            pa.array([_squeezed(tokens)], pa.binary()),
         ], names=schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,6 +98,31 @@ def _of(row: dict, name: str, kind: type) -> np.ndarray:
     return np.frombuffer(row[name], kind)
 
 
+def _squeezed(tokens: np.ndarray) -> bytes:
+    """Places of words, all first bytes before all second bytes and so on, compressed."""
+    planes = tokens.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return len(tokens).to_bytes(8, "little") + pa.compress(
+        np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True
+    )
+
+
+def _tokens(row: dict) -> np.ndarray:
+    data = row["tokens"]
+    n = int.from_bytes(data[:8], "little")
+    planes = pa.decompress(data[8:], decompressed_size=4 * n, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, n).T).view("<u4").ravel()
+
+
+def _spans(lengths: np.ndarray) -> Iterator[tuple[slice, slice]]:
+    """Runs of sequences of about ``PASS_TOKENS`` tokens, and their tokens."""
+    ends = np.cumsum(lengths)
+    start = done = 0
+    while start < len(lengths):
+        end = max(start + 1, int(np.searchsorted(ends, done + PASS_TOKENS, "right")))
+        yield slice(start, end), slice(done, int(ends[end - 1]))
+        start, done = end, int(ends[end - 1])
+
+
 def block_words(blocks: DataFrame) -> DataFrame:
     """Each block's words: (block, place, word, uses), uses in training texts."""
     schema = T.StructType([
@@ -101,7 +136,7 @@ def block_words(blocks: DataFrame) -> DataFrame:
                 row = batch.slice(i, 1).to_pylist()[0]
                 words = _of(row, "words", np.int64)
                 trains = np.repeat(~np.array(row["held_out"], bool), _of(row, "lengths", np.int64))
-                uses = np.bincount(_of(row, "tokens", np.uint32)[trains], minlength=len(words))
+                uses = np.bincount(_tokens(row)[trains], minlength=len(words))
                 for at in range(0, len(words), 50_000):
                     part = slice(at, at + 50_000)
                     n = len(words[part])
@@ -230,10 +265,12 @@ def baum_welch(blocks: DataFrame, model: Model) -> Model:
                 trains = ~np.array(row["held_out"], bool)
                 if not trains.any():
                     continue
-                tokens = _of(row, "tokens", np.uint32)[np.repeat(trains, lengths)]
+                tokens = _tokens(row)[np.repeat(trains, lengths)]
                 classes = classes_of(_of(row, "words", np.int64))[tokens]
-                found = expected_counts(model, classes, _pieces(lengths[trains]))
-                total += np.concatenate([part.ravel() for part in found])
+                pieces = _pieces(lengths[trains])
+                for some, places in _spans(pieces):
+                    found = expected_counts(model, classes[places], pieces[some])
+                    total += np.concatenate([part.ravel() for part in found])
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)], names=schema.names
         )
@@ -268,17 +305,14 @@ def score_texts(
     are zero and the model is uniform. Only the named columns are read.
     """
     blocks = held(packed(docs, id_col, text_col, held_out), "blocks")
-    uses = block_words(blocks)
-    counts = held(
-        uses.groupBy("word").agg(F.sum("uses").alias("n")).filter("n > 0"), "counts"
-    )
-    by_class = _class_totals(counts)
+    known = held(known_words(block_words(blocks)), "known")
+    by_class = _class_totals(known)
     total, distinct = by_class.sum(axis=1)
     shares = (by_class[0] + SMOOTH) / (by_class[0] + SMOOTH).sum()
     model = first_model(shares, states, seed)
     for _ in range(rounds):
         model = baum_welch(blocks, model)
-    known = uses.select("block", "place", "word").join(counts, "word").select("block", "place", "n")
+    known = known.filter("n <> uses").select("block", "place", "n")
     id_type = docs.schema[id_col].dataType
     schema = T.StructType([
         T.StructField(id_col, id_type), T.StructField("held_out", T.BooleanType()),
@@ -291,9 +325,11 @@ def score_texts(
         for i in range(left.num_rows):
             ids = left.column("ids").slice(i, 1).combine_chunks().flatten()
             row = left.select(["held_out", "lengths", "words", "tokens"]).slice(i, 1).to_pylist()[0]
-            words, tokens = _of(row, "words", np.int64), _of(row, "tokens", np.uint32)
+            words, tokens = _of(row, "words", np.int64), _tokens(row)
             lengths = _of(row, "lengths", np.int64)
-            n = np.zeros(len(words))
+            # What Spark doesn't send back is a word that no other block's training texts use.
+            trains = np.repeat(~np.array(row["held_out"], bool), lengths)
+            n = np.bincount(tokens[trains], minlength=len(words)).astype(float)
             n[right.column("place").to_numpy()] = right.column("n").to_numpy()
             kinds = classes_of(words)
             base = np.log10((n + SMOOTH) / (total + SMOOTH * (distinct + 1)))
@@ -304,7 +340,10 @@ def score_texts(
             starts = np.cumsum(lengths) - lengths
             sums = [np.add.reduceat(x[tokens], starts) for x in (n > 0, base, inside)] \
                 if len(starts) else [np.zeros(0)] * 3
-            chain = log_likelihood(model, kinds[tokens], lengths) / np.log(10)
+            chain = np.concatenate([np.zeros(0), *[
+                log_likelihood(model, kinds[tokens[places]], lengths[some])
+                for some, places in _spans(lengths)
+            ]]) / np.log(10)
             parts.append(pa.Table.from_arrays([
                 ids, pa.array(row["held_out"], pa.bool_()), pa.array(lengths),
                 pa.array(sums[0].astype(np.int64)),
@@ -320,15 +359,29 @@ def score_texts(
     return blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, schema)
 
 
-def _class_totals(counts: DataFrame) -> np.ndarray:
+def known_words(uses: DataFrame) -> DataFrame:
+    """Each block's words with the uses ``n`` in all blocks: (block, place, kind, uses, n, first).
+
+    One shuffle by word. A word has one row per block, however often it is used, so even
+    the most frequent one is as many rows as there are blocks; they pass through a sort
+    that spills. ``first`` marks one row of each word.
+    """
+    kind = F.when(F.col("word") == int(END.astype(np.int64)), F.lit(CLASSES)).otherwise(
+        F.pmod(F.col("word"), F.lit(CLASSES))
+    )
+    whole = W.partitionBy("word")
+    return uses.select(
+        "block", "place", kind.cast("int").alias("kind"), "uses",
+        F.sum("uses").over(whole).alias("n"),
+        (F.col("block") == F.min("block").over(whole)).alias("first"),
+    )
+
+
+def _class_totals(known: DataFrame) -> np.ndarray:
     """Uses and distinct words of each class in training, one row from Spark per class."""
-    end = int(END.astype(np.int64))
-    # The class of a hash read as an unsigned number.
-    unsigned = F.pmod(F.col("word"), F.lit(CLASSES))
-    kind = F.when(F.col("word") == end, F.lit(CLASSES)).otherwise(unsigned).cast("int")
     found = np.zeros((2, CLASSES + 1))
-    for row in counts.groupBy(kind.alias("kind")).agg(
-        F.sum("n").alias("n"), F.count("*").alias("v")
+    for row in known.groupBy("kind").agg(
+        F.sum("uses").alias("n"), F.count_if(F.col("first") & (F.col("n") > 0)).alias("v")
     ).collect():
         found[:, row["kind"]] = row["n"], row["v"]
     return found
