@@ -108,6 +108,15 @@ def running_month_average(spark, sf_dir):
     return rounded(running.select("month", "o_orderkey", "average"))
 
 
+@register("running_month_average_blocks", ORACLES["running_month_average"])
+def running_month_average_blocks(spark, sf_dir):
+    """The same with every month over 150 rows cut into blocks."""
+    running = averages.running_average(
+        monthly_orders(spark, sf_dir), ["month"], "o_totalprice", "o_orderkey", block_rows=150
+    )
+    return rounded(running.select("month", "o_orderkey", "average"))
+
+
 @register("year_buckets", """
 SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS date,
   round(avg(o_totalprice) + 0.00000137, 4) AS average, CAST(year(o_orderdate) AS INTEGER) AS year
@@ -171,15 +180,24 @@ def inactivity_average(spark, sf_dir):
     ))
 
 
+@register("inactivity_average_blocks", ORACLES["inactivity_average"])
+def inactivity_average_blocks(spark, sf_dir):
+    """The same with hot users cut into blocks."""
+    events = standins.table(spark, sf_dir, "events")
+    return rounded(micros_text(averages.inactivity_average(
+        events, ["user_id"], "value", "ts", SIX_HOURS, block_rows=20
+    ), "ts"))
+
+
 # Order enrichment -------------------------------------------------------------------
 
 # DuckDB form of standins.customers.
 CUSTOMERS = """cust AS (
-  SELECT c_custkey AS id, c_name AS name, CAST(c_nationkey AS VARCHAR) AS age,
+  SELECT c_custkey + 50 AS id, c_name AS name, CAST(c_nationkey AS VARCHAR) AS age,
     c_mktsegment AS address, CASE WHEN c_mktsegment <> 'MACHINERY' THEN
       regexp_replace(strftime(make_timestamp(1577836800000000 + c_custkey * 1234567),
         '%Y-%m-%d %H:%M:%S.%f'), '0{1,5}$', '') END AS created_at
-  FROM customer WHERE c_acctbal > 0)"""
+  FROM customer)"""
 
 
 @register("lookup_enrich", f"""
@@ -193,6 +211,17 @@ def lookup_enrich(spark, sf_dir):
     return enriched.select("o_orderkey", "o_totalprice", *schemas.CUSTOMER_FIELDS)
 
 
+@register("lookup_enrich_salted", ORACLES["lookup_enrich"])
+def lookup_enrich_salted(spark, sf_dir):
+    """The same with a lookup too large to broadcast and customers of many orders spread."""
+    orders = standins.table(spark, sf_dir, "orders")
+    enriched = lookup.enrich_orders(
+        orders, standins.customers(spark, sf_dir), "o_custkey",
+        salts=4, hot_rows=15, broadcast_rows=0,
+    )
+    return enriched.select("o_orderkey", "o_totalprice", *schemas.CUSTOMER_FIELDS)
+
+
 LOOKUP_JSON = f"""
 WITH {CUSTOMERS}, msg AS (
   SELECT *, substr(o_orderpriority, 1, 1) AS form,
@@ -286,6 +315,50 @@ def pending_join_scan(spark, sf_dir):
     return pending_join(spark, sf_dir, "car_data", broadcast_rows=0)
 
 
+@register("pending_join_blocks", reference_oracle("click", CAR))
+def pending_join_blocks(spark, sf_dir):
+    """The ordered plan with hot keys cut into blocks."""
+    return pending_join(spark, sf_dir, "car_data", broadcast_rows=0, block_rows=40)
+
+
+UNDATED = f"""
+WITH {EVENTS}, drv AS (SELECT event_id AS driver_id, {DRIVER} FROM ev
+  WHERE event_type = 'signup'),
+known AS (
+  SELECT *, {CAR}, event_id % 7 <> 0 AS dated,
+    last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS) OVER (
+      PARTITION BY meeting_key, session_key, driver_number ORDER BY event_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS before_id,
+    min(CASE WHEN event_type = 'signup' THEN event_id END) OVER (
+      PARTITION BY meeting_key, session_key, driver_number) AS first_id
+  FROM ev WHERE event_type IN ('signup', 'click'))
+SELECT event_id, full_name, NOT dated OR before_id IS NULL AS held
+FROM known JOIN drv ON driver_id = CASE WHEN dated THEN coalesce(before_id, first_id)
+  ELSE first_id END
+WHERE event_type = 'click'"""
+
+
+def pending_undated(spark: SparkSession, sf_dir: str, **strategy) -> DataFrame:
+    """Telemetry of which a seventh has no arrival: it counts as before everything."""
+    events = standins.events(spark, sf_dir)
+    telemetry = standins.car_data(events).select(
+        "meeting_key", "session_key", "driver_number", F.col("arrival").alias("event_id"),
+        F.when(F.col("arrival") % 7 != 0, F.col("arrival")).alias("arrival"),
+    )
+    joined = reference.reference_join(telemetry, standins.drivers(events), held="held", **strategy)
+    return joined.select("event_id", "full_name", "held")
+
+
+@register("pending_join_undated", UNDATED)
+def pending_join_undated(spark, sf_dir):
+    return pending_undated(spark, sf_dir)
+
+
+@register("pending_join_undated_scan", UNDATED)
+def pending_join_undated_scan(spark, sf_dir):
+    return pending_undated(spark, sf_dir, broadcast_rows=0)
+
+
 @register("pending_rows", f"""
 WITH {EVENTS}
 SELECT dayofyear(ts) AS session_key, driver_number, event_id AS arrival FROM ev AS c
@@ -303,7 +376,7 @@ def pending_rows(spark, sf_dir):
 @register("session_slice", f"""
 WITH {EVENTS}
 SELECT dayofyear(ts) AS session_key, driver_number, event_id AS arrival FROM ev AS c
-WHERE event_type = 'view' AND value IS NOT NULL AND EXISTS (
+WHERE event_type = 'view' AND EXISTS (
   SELECT 1 FROM ev AS s WHERE s.event_type = 'signup' AND s.user_id = c.user_id
     AND dayofyear(s.ts) = dayofyear(c.ts))""")
 def session_slice(spark, sf_dir):
@@ -616,6 +689,39 @@ def stream_reference_join(spark, sf_dir):
     return micros_text(bounded_run(spark, joined, "stream-reference-join"))
 
 
+@register("stream_reference_updates", f"""
+WITH {EVENTS}, cut AS (SELECT *, event_id * 4 // (SELECT max(event_id) + 1 FROM events) AS b
+  FROM ev),
+drv AS (SELECT meeting_key AS m, session_key AS s, driver_number AS d, event_id AS driver_id, b,
+    {DRIVER} FROM cut WHERE event_type = 'signup'),
+tel AS (SELECT * FROM cut WHERE event_type = 'purchase'),
+pick AS (SELECT tel.event_id, max(driver_id) FILTER (drv.b < tel.b) AS last_id,
+    min(driver_id) FILTER (drv.b >= tel.b) AS next_id
+  FROM tel JOIN drv ON m = meeting_key AND s = session_key AND d = driver_number GROUP BY 1)
+SELECT event_id, full_name, team_name FROM pick JOIN drv ON driver_id = coalesce(last_id, next_id)""")
+def stream_reference_updates(spark, sf_dir):
+    """Four batches; driver records of three partitions, where the last to arrive counts."""
+    root = scratch_path(spark, "stream-updates")
+    events = standins.table(spark, sf_dir, "events")
+    top = events.agg(F.max("event_id") + 1).first()[0] or 1
+    for part in range(4):
+        chosen = events.filter(F.floor(F.col("event_id") * 4 / top) == part)
+        chosen.coalesce(1).write.mode("append").parquet(f"{root}/events")
+    stream = standins.with_number(
+        spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+        .parquet(f"{root}/events")
+    )
+    telemetry = standins.position(stream).withColumnRenamed("arrival", "event_id")
+    drivers = standins.drivers(stream).withColumn("order", F.floor(F.col("arrival") / 3))
+    drivers = drivers.withColumn("arrived", F.timestamp_seconds("arrival"))
+    joined = reference_join_stream(
+        telemetry, drivers, version="order", salts=2, arrival="arrived"
+    )
+    return bounded_run(spark, joined, "stream-reference-updates").select(
+        "event_id", "full_name", "team_name"
+    )
+
+
 @register("stream_month_average", """
 SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS month,
   round(avg(o_totalprice) + 0.00000137, 4) AS average
@@ -708,7 +814,7 @@ def stream_lookup_enrich_json(spark, sf_dir):
 @register("race_position_job", f"""
 WITH {EVENTS}, drv AS (SELECT meeting_key, session_key, driver_number, {DRIVER} FROM ev
   WHERE event_type = 'signup' QUALIFY row_number() OVER (
-    PARTITION BY meeting_key, session_key, driver_number ORDER BY version) = 1)
+    PARTITION BY meeting_key, session_key, driver_number ORDER BY event_id) = 1)
 SELECT strftime(date_trunc('milliseconds', ts), '%Y-%m-%d %H:%M:%S.%f') AS date, meeting_key,
   session_key, driver_number, {POSITION}, version, full_name, name_acronym, team_name,
   headshot_url

@@ -46,10 +46,11 @@ def json_row(record_type: str) -> Column:
 
 
 def without_fields(value: Column, document: Column, names: Iterable[str]) -> Column:
-    """JSON text of an object less the named fields; null if it has none of them.
+    """JSON text of an object less the named fields, where ``value`` can't be used as it is.
 
-    ``document`` is ``value`` parsed. It is looked into only where the text holds one of
-    the names, or an escape that could spell one.
+    Null if the object has none of the fields and the text ends with it. ``document`` is
+    ``value`` parsed. It is looked into only where the text holds one of the names, or an
+    escape that could spell one.
     """
     names = list(names)
     possible, clash = F.contains(value, F.lit("\\")), F.lit(False)
@@ -58,7 +59,21 @@ def without_fields(value: Column, document: Column, names: Iterable[str]) -> Col
         clash = clash | has_field(document, name)
     fields = document.try_cast(T.MapType(T.StringType(), T.VariantType()))
     cleared = F.to_json(F.map_filter(fields, lambda name, _: ~name.isin(names)))
-    return F.when(possible, F.when(clash, cleared))
+    return F.when((possible & clash) | ~spans(value), cleared)
+
+
+def spans(value: Column) -> Column:
+    """Whether one JSON object is all of the text; the parser stops after the first one.
+
+    Sure if the only closing brace is the last character. Otherwise the text is put into an
+    object before another field, which is found only if nothing stands between them.
+    """
+    framed = F.try_parse_json(F.concat(F.lit('{"x":'), value, F.lit(',"y":0}')))
+    fields = framed.try_cast(T.MapType(T.StringType(), T.VariantType()))
+    whole = F.size(F.map_keys(fields)) == 2
+    return value.rlike(r"^[^}]*\}\s*$") | F.coalesce(
+        value.rlike(r"\}\s*$") & whole & has_field(framed, "y"), F.lit(False)
+    )
 
 
 def opened(value: Column) -> Column:
@@ -77,13 +92,44 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
 
-def _zero_missing(schema: T.StructType, record: str) -> list[Column]:
-    return [
-        F.coalesce(F.col(f"{record}.{f.name}"), F.lit(0).cast(f.dataType)).alias(f.name)
-        if isinstance(f.dataType, T.IntegralType)
-        else F.col(f"{record}.{f.name}")
+INTEGER = r"^\s*[+-]?[0-9]+\s*$"
+NUMBER = r"^\s*[+-]?[0-9]+(\.[0-9]*)?([eE][+-]?[0-9]+)?\s*$"
+
+
+def _as_read(schema: T.StructType) -> T.StructType:
+    """Integer fields as text, so that numeric text and decimals can be taken too."""
+    return T.StructType([
+        T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.IntegralType) else f.dataType)
         for f in schema.fields
-    ]
+    ])
+
+
+def _whole(text: Column, kind: T.DataType) -> Column:
+    """Integer of a number or of numeric text; decimals lose their fraction."""
+    small = F.when(text.rlike(INTEGER), F.trim(text).try_cast(kind))
+    return F.coalesce(small, F.when(text.rlike(NUMBER), text.try_cast("double").try_cast(kind)))
+
+
+def _unreadable(schema: T.StructType, record: str) -> Column:
+    """Whether an integer field holds something that is no integer of its type."""
+    bad = F.lit(False)
+    for f in schema.fields:
+        if isinstance(f.dataType, T.IntegralType):
+            text = F.col(f"{record}.{f.name}")
+            bad = bad | (text.isNotNull() & _whole(text, f.dataType).isNull())
+    return bad
+
+
+def _typed(schema: T.StructType, record: str, zero_missing: bool) -> list[Column]:
+    out = []
+    for f in schema.fields:
+        column = F.col(f"{record}.{f.name}")
+        if isinstance(f.dataType, T.IntegralType):
+            column = _whole(column, f.dataType)
+            if zero_missing:
+                column = F.coalesce(column, F.lit(0).cast(f.dataType))
+        out.append(column.alias(f.name))
+    return out
 
 
 def decode(
@@ -94,14 +140,22 @@ def decode(
 ) -> DataFrame:
     """JSON text in ``value`` to columns; unknown fields are ignored.
 
-    A malformed record fails the job. ``keep`` names columns of ``rows`` to carry
+    A malformed record, null or blank text, and a field that is no integer where one is
+    asked for fail the job. Numeric text counts as its number, decimals lose their fraction.
+    ``keep`` names columns of ``rows`` to carry
     along; a kept column wins over a payload field of the same name.
     """
     keep = list(keep)
     record = rows.select(
         *keep,
-        F.from_json("value", schema, {"mode": "FAILFAST"}).alias("_record"),
+        "value",
+        F.from_json("value", _as_read(schema), {"mode": "FAILFAST"}).alias("_record"),
     )
+    failure = F.raise_error(
+        F.concat(F.lit("not a record: "), F.coalesce("value", F.lit("null")))
+    ).cast("boolean")
+    broken = F.col("_record").isNull() | _unreadable(schema, "_record")
+    record = record.filter(F.when(broken, failure).otherwise(True)).select(*keep, "_record")
     return _record_columns(record, schema, keep, zero_missing)
 
 
@@ -114,8 +168,11 @@ def decode_or_divert(
     """Like :func:`decode`, but returns (decoded rows, malformed source rows)."""
     keep = list(keep)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = rows.withColumn("_record", F.from_json("value", _with_corrupt(schema), options))
-    broken = F.col("_record").isNull() | F.col(f"_record.{CORRUPT}").isNotNull()
+    parsed = rows.withColumn("_record", F.from_json("value", _with_corrupt(_as_read(schema)), options))
+    broken = (
+        F.col("_record").isNull() | F.col(f"_record.{CORRUPT}").isNotNull()
+        | _unreadable(schema, "_record")
+    )
     good = parsed.filter(~broken).select(*keep, "_record")
     return (
         _record_columns(good, schema, keep, zero_missing),
@@ -127,8 +184,4 @@ def _record_columns(
     record: DataFrame, schema: T.StructType, keep: list[str], zero_missing: bool
 ) -> DataFrame:
     payload = T.StructType([f for f in schema.fields if f.name not in keep])
-    if zero_missing:
-        columns = _zero_missing(payload, "_record")
-    else:
-        columns = [F.col(f"_record.{f.name}") for f in payload.fields]
-    return record.select(*columns, *keep)
+    return record.select(*_typed(payload, "_record", zero_missing), *keep)

@@ -31,7 +31,7 @@ def running_average(
     block_rows: int | None = None,
     opening: DataFrame | None = None,
 ) -> DataFrame:
-    """Average of a key's values so far, one output row per input row.
+    """Average of a key's values so far as a double, one output row per input row.
 
     ``order`` must tell the rows of one key apart. ``opening`` gives what keys start
     from, as the (count, sum) of :func:`partial_sums`.
@@ -42,7 +42,7 @@ def running_average(
             Window.partitionBy(*keys).orderBy(order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
-        return df.withColumn(out, F.avg(value).over(so_far))
+        return df.withColumn(out, F.avg(F.col(value).cast("double")).over(so_far))
     rows = df.withColumns({
         "_row": F.lit(1),
         "_sum": F.col(value).cast("double"),
@@ -93,8 +93,10 @@ def inactivity_average(
     """Average so far, given out wherever a key then stays silent for longer than the gap.
 
     The sum is never reset, so a key may appear many times; its last record always
-    counts as followed by silence. Output: keys, event time of the last record, average.
+    counts as followed by silence. Rows without a time are left out. Output: keys, event
+    time of the last record, average.
     """
+    df = df.filter(F.col(event_time).isNotNull())
     plan = plan_blocks(df, keys, event_time, block_rows)
     # Records of one key and time act together, so they are summed before the window.
     moments = df.groupBy(*keys, event_time).agg(

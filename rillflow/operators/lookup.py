@@ -39,22 +39,29 @@ def lookup_join(
     one is shuffled; adaptive execution then splits the rows of a hot key. Streaming
     micro-batches run without it: with ``salts``, keys above ``hot_rows`` rows are
     spread over that many tasks by a hash of the whole left row, and only their lookup
-    rows are copied. Keep the record version among the left columns where rows repeat.
+    rows are copied; rows without a key are spread the same way. Keep the record version among the left columns where rows repeat.
     """
     on = F.col(left_key) == F.col(key)
     if fits_broadcast(lookup, broadcast_rows):
         return left.join(F.broadcast(lookup), on, "left")
-    hot = None
-    if salts > 1:
-        hot = hot_keys(left.filter(F.col(left_key).isNotNull()), [left_key], hot_rows)
-    if hot is None:
+    if salts <= 1:
         return left.join(lookup, on, "left")
+    hot = hot_keys(left.filter(F.col(left_key).isNotNull()), [left_key], hot_rows)
+    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts))
+    if hot is None:
+        # Rows without a key match nothing, so they may go anywhere.
+        salted = left.withColumn("_salt", F.when(F.col(left_key).isNull(), spread).otherwise(0))
+        copies = lookup.withColumn("_copy", F.lit(0))
+        return salted.join(copies, on & (F.col("_salt") == F.col("_copy")), "left").drop(
+            "_salt", "_copy"
+        )
     # The hot-key table is bounded by count / hot_rows, see hot_keys().
     marks = F.broadcast(hot.select(F.col(left_key).alias("_hot_key")))
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts))
     salted = (
         left.join(marks, F.col(left_key) == F.col("_hot_key"), "left")
-        .withColumn("_salt", F.when(F.col("_hot_key").isNotNull(), spread).otherwise(F.lit(0)))
+        .withColumn("_salt", F.when(
+            F.col("_hot_key").isNotNull() | F.col(left_key).isNull(), spread
+        ).otherwise(F.lit(0)))
         .drop("_hot_key")
     )
     one, all_salts = F.array(F.lit(0)), F.array(*map(F.lit, range(salts)))

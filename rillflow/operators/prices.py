@@ -16,9 +16,12 @@ def drop_headers(rows: DataFrame, value: str = "value") -> DataFrame:
 
 
 def _checked(rows: DataFrame, value: str) -> DataFrame:
-    # One step each for the fields and the record, so that neither is computed twice.
+    # Exploding an array of one record is a step that filters above it can't be moved below,
+    # so a line is split once and its record computed once.
     split = rows.withColumn("_fields", lines.fields(F.col(value)))
-    record = split.withColumn("_price", lines.price_struct(F.col("_fields"))).drop("_fields")
+    record = split.select(
+        *rows.columns, F.explode(F.array(lines.price_struct(F.col("_fields")))).alias("_price")
+    )
     needed = [F.col(f"_price.{name}") for name in ("open", "high", "low", "close", "volume")]
     valid = times.to_day(F.col("_price.date")).isNotNull()
     for column in needed:

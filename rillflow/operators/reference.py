@@ -31,7 +31,8 @@ def reference_join(
     A row that arrived before its key's first reference record gets that first record
     (it was held, then released). Rows whose key never gets one are not given out.
     Each telemetry row appears at most once. ``arrival`` orders both inputs; ``held``
-    names an optional flag column for the rows that had to wait.
+    names an optional flag column for the rows that had to wait. No arrival means before
+    everything, on either side.
     """
     records = _one_per_arrival(reference, keys, columns, arrival)
     known = telemetry.dropna(subset=list(keys))
@@ -44,7 +45,10 @@ def reference_join(
     output = [F.col(name) for name in telemetry.columns]
     output += [F.col(f"_record.{name}").alias(name) for name in columns]
     if held:
-        output.append((F.col("_since") > F.col(arrival)).alias(held))
+        waited = F.col("_since").isNotNull() & (
+            F.col(arrival).isNull() | (F.col("_since") > F.col(arrival))
+        )
+        output.append(waited.alias(held))
     return joined.select(*output)
 
 
@@ -77,8 +81,10 @@ def _by_interval(
         F.lead("_since").over(timeline).alias("_until"),
     )
     at = F.col(arrival)
-    condition = (F.col("_from").isNull() | (at >= F.col("_from"))) & (
-        F.col("_until").isNull() | (at < F.col("_until"))
+    # No arrival counts as before everything, as in an ordered pass.
+    opening = F.col("_from").isNull()
+    condition = (opening | (at >= F.col("_from"))) & (
+        F.col("_until").isNull() | (at < F.col("_until")) | (at.isNull() & opening)
     )
     for key in keys:
         condition = condition & (F.col(key) == F.col(f"_{key}"))

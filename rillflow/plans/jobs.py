@@ -74,7 +74,9 @@ def enriched_telemetry(
     joined = reference_join_stream(
         kafka.versioned_records(telemetry_rows, feed),
         kafka.ordered_drivers(driver_rows),
+        version="order",
         salts=salts,
+        arrival="kafka_time",
     )
     return joined.select(*schemas.SERVING[feed].fieldNames())
 

@@ -9,9 +9,17 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Compare the row count to the bound; for Parquet it comes from the file footers."""
-    return df.count() <= max_rows
+BROADCAST_BYTES = 64 << 20
+
+
+def fits_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """Compare the number of rows and the bytes of their text to the bounds."""
+    texts = [F.octet_length(f"`{name}`") for name, kind in df.dtypes if kind in ("string", "binary")]
+    width = sum((F.coalesce(text, F.lit(0)) for text in texts), F.lit(8 * len(df.columns)))
+    size = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
+    return size["rows"] <= max_rows and (size["bytes"] or 0) <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -14,6 +14,8 @@ ROCKSDB_PROVIDER = (
 # Settings every job here relies on; sizes stay with the cluster's own defaults.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # The last of repeated fields of a JSON object counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -28,18 +28,21 @@ def start_position(
     to: str | int = "beginning",
     partitions: Iterable[int] | None = None,
     other_partitions: Mapping[int, int] | None = None,
+    partition_count: int | None = None,
 ) -> str:
     """Value of ``startingOffsets``: "beginning", "end" or an offset.
 
     Kafka reads want an entry for every partition, so a choice of partitions comes with
-    the offsets of the others. Without ``partitions``, an offset cannot be expressed.
+    the offsets of the others. An offset for all partitions comes with their number.
     A start position counts only for a query without a checkpoint.
     """
     if to not in ("beginning", "end") and not isinstance(to, int):
         raise ValueError("to must be 'beginning', 'end' or an offset")
     if partitions is None:
+        if isinstance(to, int) and partition_count is None:
+            raise ValueError("an explicit offset needs the partitions or their number")
         if isinstance(to, int):
-            raise ValueError("an explicit offset needs the list of partitions")
+            return json.dumps({topic: {str(part): to for part in range(partition_count)}})
         return "earliest" if to == "beginning" else "latest"
     code = {"beginning": EARLIEST, "end": LATEST}.get(to, to)
     offsets = {str(part): offset for part, offset in (other_partitions or {}).items()}
@@ -111,5 +114,13 @@ def versioned_records(rows: DataFrame, feed: str) -> DataFrame:
 
 
 def ordered_drivers(rows: DataFrame) -> DataFrame:
-    """Decoded driver records with their ``version`` as arrival order."""
-    return payloads.decode(with_version(rows), schemas.DRIVER_FEED, keep=["version"])
+    """Decoded driver records, with ``kafka_time`` and then ``order`` (offset) as arrival order.
+
+    The version tells records apart but doesn't date them: it counts partitions first.
+    """
+    ordered = rows.select(
+        F.col("value").cast("string").alias("value"),
+        keys.record_version(F.col("partition"), F.col("offset")).alias("version"),
+        F.col("timestamp").alias("kafka_time"), F.col("offset").alias("order"),
+    )
+    return payloads.decode(ordered, schemas.DRIVER_FEED, keep=["version", "kafka_time", "order"])

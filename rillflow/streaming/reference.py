@@ -33,8 +33,9 @@ class ReferenceProcessor(StatefulProcessor):
 
     Within one batch a key's rows come in no order, and topics have none between them.
     So a known record serves all telemetry of the batch, and the batch's own records
-    take over after it. Where none is known, telemetry is held; the first record of the
-    batch, by version, releases it. Memory stays bounded either way.
+    take over after it: a record of a later batch always replaces the known one, whatever
+    its version. Where none is known, telemetry is held; the first record of the batch, by
+    arrival, releases it. Memory stays bounded either way.
     """
 
     def __init__(self, ttl_millis: int | None = None):
@@ -46,44 +47,42 @@ class ReferenceProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         known = self.record.get()
-        first = last = known
+        first = last = None
         held: list[str] = []
         for chunk in rows:
-            telemetry = [row for row in chunk["telemetry_"] if isinstance(row, str)]
-            for arrived in zip(chunk["since_"], chunk["record_"]):
-                if not isinstance(arrived[1], str):
-                    continue
-                if first is None or (known is None and arrived[0] < first[0]):
-                    first = arrived
-                if last is None or arrived[0] >= last[0]:
-                    last = arrived
+            is_record = chunk["record_"].notna()
+            telemetry = chunk["telemetry_"][~is_record].tolist()
+            arrived = chunk[is_record]
+            for found in zip(arrived["since_"], arrived["tie_"], arrived["record_"]):
+                first = found if first is None else min(first, found)
+                last = found if last is None else max(last, found)
             if not telemetry:
                 continue
             if known is not None:
-                yield self._pairs(telemetry, known)
+                yield self._pairs(telemetry, known[1])
                 continue
             held += telemetry
             if len(held) >= HELD_ROWS:
                 self.pending.appendList([(row,) for row in held])
                 held = []
-        if first is None:
+        if known is None and first is None:
             if held:
                 self.pending.appendList([(row,) for row in held])
             return
         if known is None:
             if held:
-                yield self._pairs(held, first)
+                yield self._pairs(held, first[2])
             if self.pending.exists():
                 waiting = (row[0] for row in self.pending.get())
                 while released := list(islice(waiting, HELD_ROWS)):
-                    yield self._pairs(released, first)
+                    yield self._pairs(released, first[2])
                 self.pending.clear()
-        if last is not known:
-            self.record.update((int(last[0]), last[1]))
+        if last is not None:
+            self.record.update((int(last[0]), last[2]))
 
     @staticmethod
-    def _pairs(telemetry: list[str], record: tuple) -> pd.DataFrame:
-        return pd.DataFrame({"telemetry_": telemetry, "record_": record[1]})
+    def _pairs(telemetry: list[str], record: str) -> pd.DataFrame:
+        return pd.DataFrame({"telemetry_": telemetry, "record_": record})
 
     def close(self) -> None:
         pass
@@ -97,10 +96,13 @@ def reference_join_stream(
     version: str = "version",
     salts: int = 1,
     ttl_millis: int | None = None,
+    arrival: str | None = None,
 ) -> DataFrame:
     """Streaming form of the reference join; both inputs are streams.
 
-    ``version`` orders the reference records of a key. ``salts`` spreads a key's
+    Records of a later micro-batch replace those of an earlier one. Within a batch they
+    are ordered by the time ``arrival``, if given (null first), and then by ``version``.
+    ``salts`` spreads a key's
     telemetry over that many states by a hash of its columns, each with its own copy of
     the key's reference records, so that a hot key does not sit in one task. Held rows
     stay until their record comes, unless ``ttl_millis`` is given. With a time to live,
@@ -114,13 +116,16 @@ def reference_join_stream(
         F.pmod(F.xxhash64(*telemetry.columns), F.lit(salts)).cast("int").alias("salt_"),
         opaque.pack(telemetry.columns).alias("telemetry_"),
         F.lit(0).cast("long").alias("since_"),
+        F.lit(0).cast("long").alias("tie_"),
         nothing.alias("record_"),
     )
     right = reference.select(
         *same_keys,
         F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt_"),
         nothing.alias("telemetry_"),
-        F.col(version).cast("long").alias("since_"),
+        (F.coalesce(F.unix_micros(arrival), F.lit(-(2**62))) if arrival else F.lit(0))
+        .cast("long").alias("since_"),
+        F.col(version).cast("long").alias("tie_"),
         opaque.pack(record_columns).alias("record_"),
     )
     pairs = (

@@ -126,12 +126,15 @@ def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers in credit as the lookup; machinery customers lack a creation time."""
+    """All customers as the lookup, under ids moved by 50, so that some orders find none.
+
+    Machinery customers lack a creation time.
+    """
     created = F.timestamp_micros(
         F.lit(1_577_836_800_000_000) + F.col("c_custkey") * F.lit(1_234_567)
     )
-    return table(spark, sf_dir, "customer").filter("c_acctbal > 0").select(
-        F.col("c_custkey").cast("int").alias("id"),
+    return table(spark, sf_dir, "customer").select(
+        (F.col("c_custkey") + 50).cast("int").alias("id"),
         F.col("c_name").alias("name"),
         F.col("c_nationkey").alias("age"),
         F.col("c_mktsegment").alias("address"),
@@ -172,5 +175,5 @@ def kafka_rows(feed: DataFrame) -> DataFrame:
         messages.json_message(feed.drop("version")).cast("binary").alias("value"),
         (F.col("arrival") % 3).cast("int").alias("partition"),
         F.floor(F.col("arrival") / 3).alias("offset"),
-        F.lit(None).cast("timestamp").alias("timestamp"),
+        F.timestamp_seconds("arrival").alias("timestamp"),
     )
