@@ -18,11 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from rillflow.llm.common import slices
+from rillflow.llm.common import batched, slices
 
 #: Pieces and pairs a worker remembers; a full table is emptied.
-KEPT_PIECES = 400_000
-KEPT_PAIRS = 600_000
+KEPT_PIECES = 200_000
+KEPT_PAIRS = 200_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -46,7 +46,7 @@ class PrefixEncoder:
         for token, rank in ranks.items():
             self.ending.add_word(token.decode("latin-1"), (rank, len(token)))
         self.ending.make_automaton()
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.alone: dict[int, bool] = {}
         self.pieces: dict[str, bytes] = {}
 
@@ -69,12 +69,13 @@ class PrefixEncoder:
         return found
 
     def may_follow(self, left: int, right: int) -> bool:
-        found = self.pairs.get((left, right))
+        pair = left << 32 | right
+        found = self.pairs.get(pair)
         if found is None:
             if len(self.pairs) >= KEPT_PAIRS:
                 self.pairs.clear()
             both = self.tokens[left] + self.tokens[right]
-            found = self.pairs[left, right] = self.merged(both) == [left, right]
+            found = self.pairs[pair] = self.merged(both) == [left, right]
         return found
 
     def fill(self, data: bytes, last: list[int], sizes: list[int], known: int,
@@ -209,7 +210,7 @@ def encode(
                 names=schema.names,
             )
 
-    return docs.select(*dict.fromkeys([*names, text_col])).mapInArrow(run, schema)
+    return batched(docs.select(*dict.fromkeys([*names, text_col]))).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, ranks_path: str, tokens_col: str = "tokens") -> DataFrame:
@@ -238,7 +239,7 @@ def decode(encoded: DataFrame, ranks_path: str, tokens_col: str = "tokens") -> D
                     names=schema.names,
                 )
 
-    return encoded.mapInArrow(run, schema)
+    return batched(encoded).mapInArrow(run, schema)
 
 
 def digest(data: bytes) -> str:

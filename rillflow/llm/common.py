@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +20,9 @@ WORD_GAP = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Text bytes that one slice of an Arrow batch holds at most (one row may be longer).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+#: Bytes of an Arrow batch between Spark and Python, unless one row is longer.
+BATCH_BYTES = 8 << 20
 
 
 def documents(spark, sf_dir: str) -> DataFrame:
@@ -37,12 +42,24 @@ def held(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def text_key(id_col: str, text_col: str) -> list[Column]:
-    """Columns that tell rows apart even where ids are null or repeated.
+def batched(df: DataFrame) -> DataFrame:
+    """``df``, with Arrow batches of its session bounded by bytes and not by rows alone.
 
-    Rows with the same id and the same text are copies of one row and share every decision.
+    Ten thousand long texts, Spark's bound by rows, would be gigabytes.
     """
-    return [F.col(id_col).alias("id_"), F.xxhash64(F.col(text_col)).alias("text_hash_")]
+    conf = df.sparkSession.conf
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(key) != str(BATCH_BYTES):
+        conf.set(key, str(BATCH_BYTES))
+    return df
+
+
+def tidy() -> None:
+    """Give back what earlier tasks of a reused Python worker have freed."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def as_row(df: DataFrame, *dropped: str) -> DataFrame:
@@ -79,6 +96,7 @@ def text_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
            most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches, cut so that a slice holds at most ``most`` text bytes or one row."""
+    tidy()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -89,6 +107,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
             end = min(max(end, start + 1), batch.num_rows)
             yield batch.slice(start, end - start)
             start = end
+    tidy()
 
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)

@@ -24,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rillflow.llm.common import held, slices, text_parts, word_hashes
+from rillflow.llm.common import batched, held, slices, text_parts, word_hashes
 
 #: Text bytes in a block, about.
 BLOCK_BYTES = 6 << 20
@@ -88,10 +88,10 @@ def packed(docs: DataFrame, id_col: str, text_col: str, held_out: Column) -> Dat
         if waiting:
             yield pack(number, waiting)
 
-    return docs.select(
+    return batched(docs.select(
         F.col(id_col).alias("id_"), F.coalesce(F.col(text_col), F.lit("")).alias("text_"),
         held_out.alias("held_out"),
-    ).mapInArrow(run, schema)
+    )).mapInArrow(run, schema)
 
 
 def _of(row: dict, name: str, kind: type) -> np.ndarray:

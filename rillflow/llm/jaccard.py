@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from rillflow.llm.common import (
     as_row,
+    batched,
     chained,
     components,
     held,
@@ -204,7 +205,7 @@ def _index(docs: DataFrame, words: int, num: int, den: int, marks: bool) -> Data
                 ]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return batched(docs).mapInArrow(run, schema)
 
 
 def candidate_classes(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
@@ -277,9 +278,8 @@ def _label_tasks(texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
             sets, names = [sets[i] for i in keep], [names[i] for i in keep]
             yield _named(table, sets, names, num, den)
 
-    return texts.repartition("class", "part").sortWithinPartitions("class", "part").mapInArrow(
-        run, LABELLED
-    )
+    return batched(texts.repartition("class", "part").sortWithinPartitions("class", "part")) \
+        .mapInArrow(run, LABELLED)
 
 
 def _named(table: pa.Table, sets: list, names: list[str], num: int, den: int) -> pa.RecordBatch:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rillflow.llm.common import slices, text_parts
+from rillflow.llm.common import batched, slices, text_parts
 
 #: Language codes by family. Other codes form a family of their own each.
 FAMILIES = {
@@ -216,7 +216,7 @@ def train(docs: DataFrame, trains: Column, id_col: str, text_col: str, lang_col:
                  pa.array(numbers, pa.binary())], names=schema.names,
             )
 
-    found = sorted(drawn.mapInArrow(describe, schema).collect(), key=lambda r: (r["lang_"], r["draw_"]))
+    found = sorted(batched(drawn).mapInArrow(describe, schema).collect(), key=lambda r: (r["lang_"], r["draw_"]))
     x = np.zeros((len(found), FEATURES), np.float32)
     for i, row in enumerate(found):
         x[i, np.frombuffer(row["grams"], np.uint16)] = np.frombuffer(row["counts"], np.uint32)
@@ -250,4 +250,4 @@ def identify(
                 names=schema.names,
             )
 
-    return docs.select(*dict.fromkeys([*names, text_col])).mapInArrow(run, schema)
+    return batched(docs.select(*dict.fromkeys([*names, text_col]))).mapInArrow(run, schema)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rillflow.llm.common import as_row, held, row_columns, slices
+from rillflow.llm.common import as_row, batched, held, row_columns, slices
 
 #: Half-open ranges of lines, and two independent 64-bit hashes of the joined lines.
 CHUNK = T.StructType([
@@ -110,10 +110,10 @@ def chunked(docs: DataFrame, id_col: str, text_col: str, window: int, reach: int
                  ])))], names=schema.names,
             )
 
-    return docs.select(
+    return batched(docs.select(
         F.col(id_col).alias("id_"), F.xxhash64(text_col).alias("text_hash_"),
         F.col(text_col).alias("text_"),
-    ).mapInArrow(run, schema)
+    )).mapInArrow(run, schema)
 
 
 def _signed(number: int) -> int:

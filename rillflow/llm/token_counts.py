@@ -16,14 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from rillflow.llm.common import slices, text_parts
+from rillflow.llm.common import batched, slices, text_parts
 
 SPACE = "▁"
 NO_RANK = np.int64(1) << 60
 #: Sequences above so many symbols are merged one by one with a heap, in n log n steps.
 LONG_SEQUENCE = 2048
 #: Pre-tokens whose counts a worker keeps; a full table is emptied.
-KEPT_COUNTS = 400_000
+KEPT_COUNTS = 300_000
 
 _PRE_TOKEN = re.compile(" *[^ ]+| +")
 
@@ -231,4 +231,4 @@ def count_tokens(
                 names=schema.names,
             )
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return batched(docs.select(id_col, text_col)).mapInArrow(run, schema)
