@@ -61,9 +61,10 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every text, and the digest of the bytes they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = bpe.encode(docs, path, public_tokenizers.PATTERN, keep=("lang", "source", "n_chars"))
-    return bpe.decode(encoded, path).withColumn(
-        "decoded_sha256", F.sha2("decoded", 256)
-    ).drop("decoded")
+    return bpe.decode(encoded, path).select(
+        "doc_id", "lang", "source", "n_chars", "n_tokens",
+        F.base64("tokens").alias("tokens_base64"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 STAGES: list[tuple[str, Stage]] = [
