@@ -4,11 +4,15 @@ A rolling hash over the hashes of the last lines decides where a chunk ends: whe
 smallest among its neighbours. So the same lines part in the same places wherever they
 stand, and no chunk inside a text is shorter than two lines. Chunks of several lines that were seen
 before, byte for byte, are taken out everywhere but at their first place.
+
+A repeated passage shares its outer chunks with the lines around it, so whole chunks leave its
+edges behind. ``dedup_runs`` compares every run of a few lines instead, and the whole passage goes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -73,12 +77,24 @@ def _chunks_of(lines: list[bytes], window: int, reach: int, most: int):
         start = end
 
 
-def chunked(docs: DataFrame, id_col: str, text_col: str, window: int, reach: int, most: int,
-            min_lines: int) -> DataFrame:
-    """Rows (id_, text_hash_, chunks): the chunks of several lines that can repeat.
+def _solid_chunks(lines: list[bytes], window: int, reach: int, most: int, min_lines: int):
+    """The chunks that have ``min_lines`` lines with something in them."""
+    for start, end in _chunks_of(lines, window, reach, most):
+        if sum(1 for line in lines[start:end] if line.strip()) >= min_lines:
+            yield start, end
+
+
+def _solid_runs(lines: list[bytes], min_lines: int):
+    """Every run from a line with something in it to the last of ``min_lines`` such lines."""
+    solid = [at for at, line in enumerate(lines) if line.strip()]
+    for first, last in zip(solid, solid[min_lines - 1:]):
+        yield first, last + 1
+
 
-    A chunk counts if it has ``min_lines`` lines with something in them. Repeats inside a
-    text stay in the list.
+def chunked(docs: DataFrame, id_col: str, text_col: str, parts: Callable) -> DataFrame:
+    """Rows (id_, text_hash_, chunks): the ranges that ``parts`` finds in the lines of a text.
+
+    Repeats inside a text stay in the list.
     """
     schema = T.StructType([
         T.StructField("id_", docs.schema[id_col].dataType),
@@ -92,9 +108,7 @@ def chunked(docs: DataFrame, id_col: str, text_col: str, window: int, reach: int
             for text in batch.column("text_").to_pylist():
                 own = []
                 lines = text.encode().split(b"\n") if text else []
-                for start, end in _chunks_of(lines, window, reach, most):
-                    if sum(1 for line in lines[start:end] if line.strip()) < min_lines:
-                        continue
+                for start, end in parts(lines):
                     joined = b"\n".join(lines[start:end])
                     own.append({
                         "first_line": start, "n_lines": end - start,
@@ -186,9 +200,32 @@ def dedup_lines(
     and text count as one and come out alike; rows of null id are told apart by their text.
     Input columns of the three names are replaced, others pass through; no row is dropped.
     """
+    parts = partial(_solid_chunks, window=window, reach=reach, most=most, min_lines=min_lines)
+    return _without_repeats(docs, id_col, text_col, parts)
+
+
+def dedup_runs(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = 2,
+) -> DataFrame:
+    """``docs`` with ``clean_text``, ``n_lines`` and ``n_removed_lines``; repeated passages go whole.
+
+    A run is ``min_lines`` lines with something in them that follow each other, and the blank
+    lines between them. Every run that has an earlier place (smaller id, then line), in one text
+    or in several, is removed; runs overlap, so of a longer passage every line goes, wherever it
+    stands. A line goes only if it has an earlier copy, so each distinct line stays somewhere.
+    Two runs are the same if their bytes are. Blank lines around a run stay, unless nothing
+    else of the text does.
+
+    Null, empty and repeated texts and clashing names: as in :func:`dedup_lines`.
+    """
+    return _without_repeats(docs, id_col, text_col, partial(_solid_runs, min_lines=min_lines), True)
+
+
+def _without_repeats(docs: DataFrame, id_col: str, text_col: str, parts: Callable,
+                     drop_blank: bool = False) -> DataFrame:
+    """``docs`` without the repeats among ``parts``, and texts left blank empty if wanted."""
     found = held(
-        chunked(docs, id_col, text_col, window, reach, most, min_lines)
-        .filter(F.size("chunks") > 0), "chunks",
+        chunked(docs, id_col, text_col, parts).filter(F.size("chunks") > 0), "chunks",
     )
     gone = repeated_chunks(docs, found, id_col, text_col)
     texts = as_row(docs, "clean_text", "n_lines", "n_removed_lines")
@@ -197,9 +234,9 @@ def dedup_lines(
         gone, F.col("row_").getField(id_col).eqNullSafe(F.col("id_"))
         & (F.col("doc_hash_") == F.col("text_hash_")), "left",
     )
-    lost = F.coalesce(F.flatten(F.transform("gone", lambda r: F.sequence(
+    lost = F.coalesce(F.array_distinct(F.flatten(F.transform("gone", lambda r: F.sequence(
         r["first_line"], r["first_line"] + r["n_lines"] - 1
-    ))), F.array().cast("array<int>"))
+    )))), F.array().cast("array<int>"))
     left = F.transform(F.array(F.split(text, "\n")), lambda lines: F.array_join(
         F.transform(
             F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), lost),
@@ -207,8 +244,15 @@ def dedup_lines(
         ), "\n",
     ))[0]
     n_lines = F.when(text.isNull(), 0).otherwise(F.size(F.split(text, "\n")))
-    return joined.select(
+    cleaned = joined.select(
         *row_columns(joined),
         F.when(F.col("gone").isNull(), text).otherwise(left).alias("clean_text"),
         n_lines.cast("long").alias("n_lines"), F.size(lost).cast("long").alias("n_removed_lines"),
     )
+    if not drop_blank:
+        return cleaned
+    blank = (F.col("n_removed_lines") > 0) & ~F.col("clean_text").rlike(r"\S")
+    return cleaned.withColumns({
+        "clean_text": F.when(blank, F.lit("")).otherwise(F.col("clean_text")),
+        "n_removed_lines": F.when(blank, F.col("n_lines")).otherwise(F.col("n_removed_lines")),
+    })

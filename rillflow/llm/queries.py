@@ -109,8 +109,8 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op1_line_dedup")
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated chunks of lines removed from all documents: what is left of each."""
-    clean = lines.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    """Repeated passages of lines removed from all documents: what is left of each."""
+    clean = lines.dedup_runs(documents(spark, sf_dir).select("doc_id", "text"))
     return clean.select(
         "doc_id", "n_lines", "n_removed_lines", F.length("clean_text").cast("long").alias("n_chars_left"),
         F.sha2("clean_text", 256).alias("clean_sha256"),

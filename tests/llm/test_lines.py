@@ -74,3 +74,63 @@ def test_ends_follow_content():
     assert min(b - a for a, b in zip(ends, ends[1:-1])) > 1
     assert lines.chunk_ends([], 2, 1, 24) == []
     assert max(lines.chunk_ends([7] * 100, 2, 1, 24)) == 100
+
+
+def plain_runs(rows, min_lines=2):
+    """Every run that was seen before, in a dictionary; equal rows count as one."""
+    seen, gone = set(), {}
+    for r in sorted(set((r[0], r[1]) for r in rows if r[1]), key=lambda x: x[0]):
+        own = r[1].split("\n")
+        solid = [i for i, x in enumerate(own) if x.strip(" \t\n\x0b\x0c\r")]
+        for first, last in zip(solid, solid[min_lines - 1:]):
+            run = tuple(own[first:last + 1])
+            if run in seen:
+                gone.setdefault(r, set()).update(range(first, last + 1))
+            seen.add(run)
+    out = []
+    for r in rows:
+        if r[1] is None:
+            out.append((r[0], None, 0, 0))
+            continue
+        own, lost = r[1].split("\n"), gone.get((r[0], r[1]), set())
+        left = "\n".join(x for i, x in enumerate(own) if i not in lost)
+        if lost and not left.strip(" \t\n\x0b\x0c\r"):
+            left, lost = "", own
+        out.append((r[0], left, len(own), len(lost)))
+    return sorted(out, key=repr)
+
+
+def test_passages_go_whole(spark):
+    """Passages of two lines and more leave nothing behind, whatever stands around them."""
+    rng = random.Random(6)
+    rows, passages = [], {}
+    for size in (2, 3, 4, 5, 6, 14):
+        shared = [f"line {i} of the passage of {size}." for i in range(size)]
+        for copy in range(8):
+            own = [rng.choice([f"line {rng.random()} of its own.", ""]) for _ in range(rng.randrange(1, 30))]
+            at = rng.randrange(len(own) + 1)
+            number = 100 * size + copy
+            passages[number] = shared
+            rows.append(row(number, "\n".join(own[:at] + shared + own[at:])))
+    rows += [row(5000, "same\nlines\n" * 40), row(5001, None), row(5002, ""), row(5003, "\n\n\n\n"),
+             row(5004, "a one\n\nb two\n"), row(5005, "\na one\n\nb two\n\n"), row(5006, "a one\nb two")]
+    df = lines.dedup_runs(frame(spark, rows))
+    got = sorted(
+        map(tuple, df.select("doc_id", "clean_text", "n_lines", "n_removed_lines").collect()), key=repr
+    )
+    assert got == plain_runs(rows)
+    left = {r[0]: r[1] for r in got}
+    for number, shared in passages.items():
+        stays = [x for x in left[number].split("\n") if "passage" in x]
+        assert stays == (shared if number % 100 == 0 else [])
+    assert left[5005] == "" and left[5006] == "a one\nb two"
+
+
+def test_runs_of_odd_rows(spark):
+    odd = [r for r in odd_rows() if r[0] is not None]
+    df = lines.dedup_runs(frame(spark, odd))
+    assert sorted(
+        map(tuple, df.select("doc_id", "clean_text", "n_lines", "n_removed_lines").collect()), key=repr
+    ) == plain_runs(odd)
+    assert lines.dedup_runs(frame(spark, odd_rows())).count() == len(odd_rows())
+    assert lines.dedup_runs(frame(spark, [])).count() == 0
