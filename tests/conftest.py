@@ -32,19 +32,3 @@ def spark(tmp_path_factory):
 def folder(tmp_path):
     """A new folder name for each call."""
     return lambda: str(tmp_path / uuid.uuid4().hex)
-
-
-def rows(df):
-    """Rows as a sorted list of tuples."""
-    return sorted((tuple(row) for row in df.collect()), key=repr)
-
-
-def plan_text(df):
-    """The physical plan as text."""
-    import contextlib
-    import io
-
-    out = io.StringIO()
-    with contextlib.redirect_stdout(out):
-        df.explain("formatted")
-    return out.getvalue()

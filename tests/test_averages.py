@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import plan_text, rows
+from frames import plan_text, rows
 from rillflow.operators import averages
 from rillflow.plans.blocks import BLOCK, plan_blocks
 

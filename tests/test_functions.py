@@ -158,9 +158,13 @@ def test_decode(spark):
 
 
 def test_decode_malformed(spark):
-    df = spark.createDataFrame([('{"x": 1}',), ("{bad",), ('{"x": "word"}',)], "value string")
+    torn = spark.createDataFrame([('{"x": 1}',), ("{bad",)], "value string")
     with pytest.raises(Exception, match="MALFORMED"):
-        payloads.decode(df, schemas.LOCATION_FEED).collect()
+        payloads.decode(torn, schemas.LOCATION_FEED).collect()
+    worded = spark.createDataFrame([('{"x": 1}',), ('{"x": "word"}',)], "value string")
+    with pytest.raises(Exception, match="not a record"):
+        payloads.decode(worded, schemas.LOCATION_FEED).collect()
+    df = torn.union(worded.filter("value LIKE '%word%'"))
     good, bad = payloads.decode_or_divert(df, schemas.LOCATION_FEED)
     assert [row.x for row in good.collect()] == [1]
     assert {row.value for row in bad.collect()} == {"{bad", '{"x": "word"}'}

@@ -6,7 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_text
+from frames import plan_text
 from rillflow import schemas
 from rillflow.operators import lookup
 from rillflow.plans import jobs

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_text, rows
+from frames import plan_text, rows
 from rillflow import schemas
 from rillflow.operators import reference
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import plan_text, rows
+from frames import plan_text, rows
 from rillflow.functions import payloads
 from rillflow.operators import averages, lookup, prices, reference
 

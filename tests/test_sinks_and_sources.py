@@ -6,7 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_text, rows
+from frames import plan_text, rows
 from rillflow import schemas
 from rillflow.plans import jobs
 from rillflow.sinks import console, files, kafka as kafka_sink, serving

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from rillflow import schemas
 from rillflow.operators import averages, dashboard, reference, versions
 from rillflow.plans import jobs
