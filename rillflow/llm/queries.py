@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillflow.llm import (
+    additive,
     bpe,
+    centroids,
     fixity,
     hidden_markov,
     jaccard,
@@ -18,6 +20,7 @@ from rillflow.llm import (
     mixing,
     quality,
     token_counts,
+    tries,
     vectors,
 )
 from rillflow.llm.common import crc_remainder, documents
@@ -279,3 +282,77 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents scored by word counts and a hidden Markov model of four fifths of them."""
     docs = documents(spark, sf_dir)
     return hidden_markov.score_texts(docs, crc_remainder("doc_id", 5) == 1)
+
+
+#: The CRC-32 of the decimal conversation, bit by bit, modulo 6.
+TRIE_SQL = """
+WITH t AS (SELECT conv_id AS c, turn, coalesce(role, '') AS r, coalesce(text, '') AS x
+  FROM conversations WHERE conv_id IS NOT NULL),
+l AS (SELECT c, list({'r': r, 'x': x} ORDER BY turn NULLS FIRST, r, x) AS l FROM t GROUP BY c),
+h AS (SELECT c, xor(list_reduce(list_concat([4294967295::BIGINT],
+    list_transform(string_split(c::VARCHAR, ''), lambda y: ascii(y)::BIGINT)),
+    lambda a, b: list_reduce(list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+      lambda p, q: xor(p >> 1, 3988292384 * (p & 1)))), 4294967295) % 6 AS h FROM l),
+s AS (SELECT h.c, list_concat(coalesce(d.l[1:h], []), o.l[h + 1:]) AS s
+  FROM h JOIN l o ON o.c = h.c LEFT JOIN l d ON d.c = h.c - h.c % 100),
+k AS (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM s),
+n AS (SELECT d, s[1:d] AS p, min(c) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(s) = d), '') AS ends
+  FROM k GROUP BY ALL),
+ch AS (SELECT d - 1 AS d, p[1:d - 1] AS p, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN ch ON ch.d = n.d AND ch.p = n.p),
+a AS (SELECT ad AS d, p[1:ad] AS p, count(*) FILTER (n_children = 0) AS n_leaves,
+    sum((n_convs - 1) * CASE WHEN d > 0 THEN length(p[d].x) ELSE 0 END) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS ad FROM m) GROUP BY ALL)
+SELECT m.conv_id, m.d AS depth, q.conv_id AS parent_conv_id, m.n_convs, m.n_children, a.n_leaves,
+  CAST(a.saved_tokens AS BIGINT) AS saved_tokens, sha256(m.ends) AS ends_sha256
+FROM m JOIN a ON a.d = m.d AND a.p = m.p LEFT JOIN n q ON q.d = m.d - 1 AND q.p = m.p[1:m.d - 1]"""
+
+
+@register("op11_prefix_trie", TRIE_SQL)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the trie of all conversations, after they took the first turns of others."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return tries.prefix_trie(*tries.with_lent_heads(tries.turn_marks(turns, "conv_id", "turn", "role", "text")))
+
+
+@register("op12_quality_classifier")
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of all documents, learned from labels of four fifths of them."""
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    held_out = crc_remainder("doc_id", 5) == 0
+    return additive.score(docs, additive.train(docs, labels, ~held_out)).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+def _round_sql(number: int) -> str:
+    """Vectors assigned to centroids c{number}, and the next centroids."""
+    return f"""
+b{number} AS (SELECT v.i, min([CAST(list_dot_product(v.e, v.e) - 2 * list_dot_product(v.e, c.e)
+    + list_dot_product(c.e, c.e) AS BIGINT), c.cluster]) AS b FROM v, c{number} c GROUP BY v.i),
+t{number} AS (SELECT b.b[2] AS cluster, j, CAST(sum(v.e[j]) AS BIGINT) AS s, count(*) AS n
+  FROM b{number} b JOIN v ON v.i = b.i, range(1, 65) r(j) GROUP BY ALL),
+m{number} AS (SELECT cluster, list(((s - ((s % n) + n) % n) // n)::DOUBLE ORDER BY j) AS e FROM t{number} GROUP BY ALL),
+c{number + 1} AS (SELECT c.cluster, coalesce(m.e, c.e) AS e FROM c{number} c LEFT JOIN m{number} m
+  ON m.cluster = c.cluster)"""
+
+
+CENTROIDS_SQL = f"""
+WITH v AS (SELECT row_number() OVER () AS i, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e
+  FROM embeddings WHERE len(embedding) = 64
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id::VARCHAR), e) - 1 AS cluster, e FROM v
+  QUALIFY cluster < 16),{_round_sql(0)},{_round_sql(1)},{_round_sql(2)},{_round_sql(3)},
+d AS (SELECT v.vec_id, b.b[2] AS cluster, b.b[1] AS distance FROM b3 b JOIN v ON v.i = b.i)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance,
+  CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+  (SELECT sha256(array_to_string(list_transform(c3.e, lambda x: x::BIGINT), ',')) FROM c3
+    WHERE c3.cluster = d.cluster) AS centroid_sha256 FROM d"""
+
+
+@register("op13_centroid_clustering", CENTROIDS_SQL)
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of all vectors after three rounds from sixteen drawn ones."""
+    return centroids.centroid_clusters(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
