@@ -95,8 +95,15 @@ def text_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
            most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches, cut so that a slice holds at most ``most`` text bytes or one row."""
+    """The batches of a task as ``cut`` parts them; memory is given back before and after."""
+    tidy()
+    yield from cut(batches, text, most)
     tidy()
+
+
+def cut(batches: Iterator[pa.RecordBatch], text: str = "text",
+        most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches, cut so that a slice holds at most ``most`` text bytes or one row."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -107,7 +114,6 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
             end = min(max(end, start + 1), batch.num_rows)
             yield batch.slice(start, end - start)
             start = end
-    tidy()
 
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)

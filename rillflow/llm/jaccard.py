@@ -30,11 +30,13 @@ from rillflow.llm.common import (
     batched,
     chained,
     components,
+    cut,
     held,
     mixed,
     row_columns,
     slices,
     text_parts,
+    tidy,
     word_hashes,
 )
 
@@ -258,17 +260,20 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tab
         yield pa.Table.from_batches(waiting)
 
 
-def _label_tasks(texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
+def _label_tasks(texts: DataFrame, words: int, num: int, den: int, tasks: int) -> DataFrame:
     """The sets of each (class, part), labelled inside the part.
 
     A label is the name of the smallest set connected within the part. Sets of classes in
-    several parts keep their n-grams for the comparison between parts.
+    several parts keep their n-grams for the comparison between parts. The number of tasks is
+    given, because the work grows with n-grams and not with the bytes that Spark would merge
+    small partitions by.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         for table in _runs(batches, ["class", "part"]):
             sets, names = [], []
-            for batch in slices(table.to_batches(), "text_"):
+            for batch in cut(table.to_batches(), "text_"):
                 for grams in shingle_sets(batch.column("text_"), words):
                     name = _set_name(*fingerprint(grams))
                     sets.append(grams)
@@ -278,8 +283,8 @@ def _label_tasks(texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
             sets, names = [sets[i] for i in keep], [names[i] for i in keep]
             yield _named(table, sets, names, num, den)
 
-    return batched(texts.repartition("class", "part").sortWithinPartitions("class", "part")) \
-        .mapInArrow(run, LABELLED)
+    dealt = texts.repartition(tasks, "class", "part").sortWithinPartitions("class", "part")
+    return batched(dealt).mapInArrow(run, LABELLED)
 
 
 def _named(table: pa.Table, sets: list, names: list[str], num: int, den: int) -> pa.RecordBatch:
@@ -361,6 +366,13 @@ def _across_parts(many: DataFrame, num: int, den: int, task_tokens: int) -> Data
                              "left_anti"))
 
 
+def tasks_for(sets: DataFrame, task_tokens: int) -> int:
+    """How many tasks to deal the sets to: a quarter of the bound each, and all cores at least."""
+    spark = sets.sparkSession
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    return max(-(-4 * total // task_tokens), int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def jaccard_components(
     docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
     text_col: str = "text", task_tokens: int = TASK_TOKENS, with_hash: bool = False,
@@ -400,7 +412,7 @@ def jaccard_components(
     wanted = texts.join(
         members.hint("merge"), F.col("id_").eqNullSafe(F.col("m_id")) & (F.col("text_hash_") == F.col("m_hash"))
     ).select("class", "part", "parts", "text_")
-    labelled = held(_label_tasks(wanted, words, num, den), "labelled")
+    labelled = held(_label_tasks(wanted, words, num, den, tasks_for(sets, task_tokens)), "labelled")
     many = labelled.filter("parts > 1")
     labels = labelled.select("set", "label")
     if not many.isEmpty():
