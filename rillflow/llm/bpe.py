@@ -10,7 +10,8 @@ without looking back, and an edit be followed only until the table agrees with t
 from __future__ import annotations
 
 import base64
-import hashlib
+import functools
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,9 +21,9 @@ from pyspark.sql import types as T
 
 from rillflow.llm.common import batched, slices
 
-#: Pieces and pairs a worker remembers; a full table is emptied.
-KEPT_PIECES = 200_000
-KEPT_PAIRS = 200_000
+#: Pieces and pairs a worker remembers; of a full table the older half goes.
+KEPT_PIECES = 400_000
+KEPT_PAIRS = 600_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -30,6 +31,24 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+@functools.lru_cache(maxsize=1)
+def _encoder(ranks_path: str, pattern: str) -> PrefixEncoder:
+    """The encoder of a worker process, which keeps what it knows from task to task."""
+    return PrefixEncoder(read_ranks(ranks_path), pattern)
+
+
+@functools.lru_cache(maxsize=1)
+def _tokens(ranks_path: str) -> dict[int, bytes]:
+    return {rank: token for token, rank in read_ranks(ranks_path).items()}
+
+
+def _make_room(table: dict, most: int) -> None:
+    """Drop the older half of a full table."""
+    if len(table) >= most:
+        for key in list(itertools.islice(table, most // 2)):
+            del table[key]
+
+
 class PrefixEncoder:
     """Encodes pieces of text by the ranks of a vocabulary that holds all single bytes."""
 
@@ -72,8 +91,7 @@ class PrefixEncoder:
         pair = left << 32 | right
         found = self.pairs.get(pair)
         if found is None:
-            if len(self.pairs) >= KEPT_PAIRS:
-                self.pairs.clear()
+            _make_room(self.pairs, KEPT_PAIRS)
             both = self.tokens[left] + self.tokens[right]
             found = self.pairs[pair] = self.merged(both) == [left, right]
         return found
@@ -122,10 +140,9 @@ class PrefixEncoder:
         for piece in self.split(text):
             found = kept.get(piece)
             if found is None:
-                if len(kept) >= KEPT_PIECES:
-                    kept.clear()
                 found = np.array(self.encode_piece(piece.encode()), "<u4").tobytes()
                 if len(piece) <= 64:
+                    _make_room(kept, KEPT_PIECES)
                     kept[piece] = found
             parts.append(found)
         return b"".join(parts)
@@ -196,9 +213,8 @@ def encode(
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
+        encoder = _encoder(ranks_path, pattern)
         for batch in slices(batches, text_col):
-            encoder = encoder or PrefixEncoder(read_ranks(ranks_path), pattern)
             found = [
                 encoder.encode_packed(text) if text else b""
                 for text in batch.column(text_col).to_pylist()
@@ -222,10 +238,8 @@ def decode(encoded: DataFrame, ranks_path: str, tokens_col: str = "tokens") -> D
     schema = T.StructType([*kept, T.StructField("decoded", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = None
+        tokens = _tokens(ranks_path)
         for batch in batches:
-            if tokens is None:
-                tokens = {rank: token for token, rank in read_ranks(ranks_path).items()}
             at = 0
             while at < batch.num_rows:
                 part = batch.slice(at, 256)
@@ -241,6 +255,3 @@ def decode(encoded: DataFrame, ranks_path: str, tokens_col: str = "tokens") -> D
 
     return batched(encoded).mapInArrow(run, schema)
 
-
-def digest(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
