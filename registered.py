@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +22,7 @@ from rillflow.session import scratch_path
 from rillflow.sinks import files, kafka, serving
 from rillflow.streaming import averages as stream_averages
 from rillflow.streaming import run
-from rillflow.streaming.reference import reference_join_stream
+from rillflow.streaming.reference_tables import ReferenceJoin
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -262,6 +262,39 @@ def lookup_enrich_json(spark, sf_dir):
     return read_back(lookup.enrich_json(messages, standins.customers(spark, sf_dir)))
 
 
+@register("lookup_enrich_ordered", f"""
+WITH {CUSTOMERS}
+SELECT o_orderkey AS message_key, CAST(o_orderkey % 3 AS INTEGER) AS partition,
+  row_number() OVER (PARTITION BY o_orderkey % 3 ORDER BY o_orderkey // 3, o_orderkey) AS position,
+  CASE WHEN o_orderstatus <> 'O' AND substr(o_orderpriority, 1, 1) <> '1'
+      AND (id IS NULL OR created_at IS NOT NULL) THEN name
+    WHEN substr(o_orderpriority, 1, 1) = '2' THEN 'old' END AS customer_name
+FROM orders LEFT JOIN cust ON o_custkey = id""")
+def lookup_enrich_ordered(spark, sf_dir):
+    """Messages of three source partitions through the salted join, written in their order.
+
+    ``position`` is the place of a message among those of its partition in the written files.
+    """
+    path = scratch_path(spark, "enriched-in-order")
+    orders = standins.table(spark, sf_dir, "orders")
+    messages = standins.order_messages(orders).withColumns({
+        "partition": (F.col("message_key") % 3).cast("int"), "offset": F.floor(F.col("message_key") / 3),
+    })
+    enriched = lookup.enrich_json(
+        messages, standins.customers(spark, sf_dir), salts=4, hot_rows=15, broadcast_rows=0
+    )
+    lookup.in_source_order(enriched).write.parquet(path)
+    files_of = Window.partitionBy("partition").orderBy("file", "row")
+    return spark.read.schema(messages.schema).parquet(path).select(
+        "message_key", "partition", F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.row_index").alias("row"),
+        F.when(F.col("value").endswith("}"), F.get_json_object("value", "$.customer_name")).alias("customer_name"),
+    ).select(
+        "message_key", "partition", F.row_number().over(files_of).cast("long").alias("position"),
+        "customer_name",
+    )
+
+
 # Reference join ---------------------------------------------------------------------
 
 def reference_oracle(event_type: str, measures: str) -> str:
@@ -321,6 +354,29 @@ def pending_join_blocks(spark, sf_dir):
     return pending_join(spark, sf_dir, "car_data", broadcast_rows=0, block_rows=40)
 
 
+@register("pending_join_ties", f"""
+WITH {EVENTS}, arr AS (SELECT *, event_id // 4000 AS arrival FROM ev),
+drv AS (SELECT meeting_key AS m, session_key AS s, driver_number AS d, arrival AS since,
+    max({{'n': 'driver ' || user_id || ' v' || event_id, 't': 'team ' || k}}) AS record
+  FROM arr WHERE event_type = 'signup' GROUP BY ALL),
+pick AS (SELECT event_id, arrival, max(since) FILTER (since <= arrival) AS last_at, min(since) AS first_at,
+    any_value(m) AS m, any_value(s) AS s, any_value(d) AS d
+  FROM arr JOIN drv ON m = meeting_key AND s = session_key AND d = driver_number
+  WHERE event_type = 'click' GROUP BY ALL)
+SELECT event_id, arrival, record.n AS full_name, record.t AS team_name, last_at IS NULL AS held
+FROM pick JOIN drv USING (m, s, d) WHERE since = coalesce(last_at, first_at)""")
+def pending_join_ties(spark, sf_dir):
+    """Thousands of rows that arrive at once, cut into blocks in spite of it."""
+    events = standins.events(spark, sf_dir)
+    at = F.floor(F.col("arrival") / 4000)
+    telemetry = standins.car_data(events).withColumn("event_id", F.col("arrival")).withColumn("arrival", at)
+    joined = reference.reference_join(
+        telemetry, standins.drivers(events).withColumn("arrival", at),
+        columns=["full_name", "team_name"], held="held", broadcast_rows=0, block_rows=10,
+    )
+    return joined.select("event_id", "arrival", "full_name", "team_name", "held")
+
+
 UNDATED = f"""
 WITH {EVENTS}, drv AS (SELECT event_id AS driver_id, {DRIVER} FROM ev
   WHERE event_type = 'signup'),
@@ -673,53 +729,83 @@ def bounded_run(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(f"{root}/rows")
 
 
-@register("stream_reference_join", f"""
-WITH {EVENTS}, drv AS (SELECT meeting_key, session_key, driver_number, {DRIVER} FROM ev
-  WHERE event_type = 'signup' QUALIFY row_number() OVER (
-    PARTITION BY meeting_key, session_key, driver_number ORDER BY event_id) = 1)
-SELECT date, meeting_key, session_key, driver_number, {POSITION}, version, full_name,
-  name_acronym, team_name, headshot_url
-FROM ev JOIN drv USING (meeting_key, session_key, driver_number)
-WHERE event_type = 'purchase'""")
-def stream_reference_join(spark, sf_dir):
-    """One batch of everything: all rows wait, and the first driver record frees them."""
-    events = standins.with_number(table_stream(spark, sf_dir, "events"))
-    drivers = standins.drivers(events).withColumnRenamed("arrival", "version")
-    joined = reference_join_stream(standins.position(events).drop("arrival"), drivers, salts=2)
-    return micros_text(bounded_run(spark, joined, "stream-reference-join"))
+def landed(spark: SparkSession, sf_dir: str, root: str, parts: int) -> DataFrame:
+    """All events as a stream of ``parts`` micro-batches, cut along their ids."""
+    events = standins.table(spark, sf_dir, "events")
+    top = events.agg(F.max("event_id") + 1).first()[0] or 1
+    for part in range(parts):
+        chosen = events.filter(F.floor(F.col("event_id") * parts / top) == part)
+        chosen.coalesce(1).write.mode("append").parquet(f"{root}/events")
+    return (
+        spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+        .parquet(f"{root}/events")
+    )
+
 
+def batch_rows(root: str) -> Callable[[DataFrame, int], None]:
+    """A sink that keeps the rows of every batch in a folder of its own."""
+    return lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
 
-@register("stream_reference_updates", f"""
-WITH {EVENTS}, cut AS (SELECT *, event_id * 4 // (SELECT max(event_id) + 1 FROM events) AS b
+
+def picked(parts: int, columns: str, date: str = "date") -> str:
+    """SQL of telemetry with the record that the join knows, in so many batches.
+
+    A row takes the last record of the batches before its own; else the first one of its own
+    or a later batch.
+    """
+    return f"""
+WITH {EVENTS}, cut AS (SELECT *, event_id * {parts} // (SELECT max(event_id) + 1 FROM events) AS b
   FROM ev),
 drv AS (SELECT meeting_key AS m, session_key AS s, driver_number AS d, event_id AS driver_id, b,
     {DRIVER} FROM cut WHERE event_type = 'signup'),
-tel AS (SELECT * FROM cut WHERE event_type = 'purchase'),
+tel AS (SELECT * REPLACE ({date} AS date), {POSITION} FROM cut WHERE event_type = 'purchase'),
 pick AS (SELECT tel.event_id, max(driver_id) FILTER (drv.b < tel.b) AS last_id,
     min(driver_id) FILTER (drv.b >= tel.b) AS next_id
   FROM tel JOIN drv ON m = meeting_key AND s = session_key AND d = driver_number GROUP BY 1)
-SELECT event_id, full_name, team_name FROM pick JOIN drv ON driver_id = coalesce(last_id, next_id)""")
+SELECT {columns} FROM pick JOIN tel USING (event_id) JOIN drv ON driver_id = coalesce(last_id, next_id)"""
+
+
+JOINED = """date, meeting_key, session_key, driver_number, position, version, full_name,
+  name_acronym, team_name, headshot_url"""
+
+
+@register("stream_reference_join", picked(3, JOINED))
+def stream_reference_join(spark, sf_dir):
+    """Three batches; rows wait for the first driver record, and each batch's last one stays."""
+    root = scratch_path(spark, "stream-reference-join")
+    events = standins.with_number(landed(spark, sf_dir, root, 3))
+    drivers = standins.drivers(events).withColumnRenamed("arrival", "version")
+    telemetry = standins.position(events).drop("arrival")
+    join = ReferenceJoin(telemetry, drivers, f"{root}/tables", full_every=2)
+    run.start(
+        join.inputs(), "stream-reference-join", f"{root}/checkpoint",
+        join.step(batch_rows(f"{root}/rows")), trigger=run.BOUNDED,
+    ).awaitTermination()
+    schema = T.StructType([*telemetry.schema.fields, *[drivers.schema[c] for c in schemas.DRIVER_COLUMNS]])
+    return micros_text(spark.read.schema(schema).parquet(f"{root}/rows").drop("batch"))
+
+
+@register("stream_reference_updates", picked(4, "event_id, full_name, team_name"))
 def stream_reference_updates(spark, sf_dir):
-    """Four batches; driver records of three partitions, where the last to arrive counts."""
+    """Four batches; driver records of three partitions, where the last to arrive counts.
+
+    The known records count as too many to broadcast, and drivers of many rows are spread.
+    """
     root = scratch_path(spark, "stream-updates")
-    events = standins.table(spark, sf_dir, "events")
-    top = events.agg(F.max("event_id") + 1).first()[0] or 1
-    for part in range(4):
-        chosen = events.filter(F.floor(F.col("event_id") * 4 / top) == part)
-        chosen.coalesce(1).write.mode("append").parquet(f"{root}/events")
-    stream = standins.with_number(
-        spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
-        .parquet(f"{root}/events")
-    )
+    stream = standins.with_number(landed(spark, sf_dir, root, 4))
     telemetry = standins.position(stream).withColumnRenamed("arrival", "event_id")
     drivers = standins.drivers(stream).withColumn("order", F.floor(F.col("arrival") / 3))
     drivers = drivers.withColumn("arrived", F.timestamp_seconds("arrival"))
-    joined = reference_join_stream(
-        telemetry, drivers, version="order", salts=2, arrival="arrived"
-    )
-    return bounded_run(spark, joined, "stream-reference-updates").select(
-        "event_id", "full_name", "team_name"
+    join = ReferenceJoin(
+        telemetry, drivers, f"{root}/tables", version="order", arrival="arrived",
+        salts=4, hot_rows=5, broadcast_rows=0,
     )
+    run.start(
+        join.inputs(), "stream-updates", f"{root}/checkpoint",
+        join.step(batch_rows(f"{root}/rows")), trigger=run.BOUNDED,
+    ).awaitTermination()
+    schema = "event_id long, full_name string, team_name string"
+    return spark.read.schema(schema).parquet(f"{root}/rows").drop("batch")
 
 
 @register("stream_month_average", """
@@ -779,19 +865,27 @@ def stream_running_average_batches(spark, sf_dir):
 
 
 @register("stream_inactivity_average", """
-WITH total AS (
-  SELECT user_id, max(ts) AS ts, round(avg(value) + 0.00000137, 4) AS average
-  FROM events GROUP BY user_id)
-SELECT user_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, average FROM total
-WHERE ceil(epoch_us(ts) / 1000) + 21600000
-  <= (SELECT floor(max(epoch_us(ts)) / 1000) FROM events)""")
+WITH run AS (
+  SELECT user_id, ts, lead(ts) OVER w AS following,
+    avg(value) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS average
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts))
+SELECT user_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts,
+  round(average + 0.00000137, 4) AS average
+FROM run WHERE (following IS NULL OR following - ts > INTERVAL 6 HOUR)
+  AND ts + INTERVAL 6 HOUR < (SELECT max(ts) FROM events)""")
 def stream_inactivity_average(spark, sf_dir):
-    """One batch of everything: keys silent for the gap before the watermark."""
-    events = table_stream(spark, sf_dir, "events")
-    silent = stream_averages.inactivity_average_stream(
-        events, ["user_id"], "value", "ts", SIX_HOURS
+    """Five batches: every silence of every user whose end the newest event has passed."""
+    root = scratch_path(spark, "stream-inactivity")
+    events = landed(spark, sf_dir, root, 5)
+    step = stream_averages.inactivity_average_batches(
+        ["user_id"], "value", "ts", f"{root}/state", batch_rows(f"{root}/rows"), SIX_HOURS
     )
-    return rounded(micros_text(bounded_run(spark, silent, "stream-inactivity-average"), "ts"))
+    run.start(
+        events.select("user_id", "ts", "value"), "stream-inactivity", f"{root}/checkpoint", step,
+        trigger=run.BOUNDED,
+    ).awaitTermination()
+    schema = "user_id long, ts timestamp, average double"
+    return rounded(micros_text(spark.read.schema(schema).parquet(f"{root}/rows").drop("batch"), "ts"))
 
 
 @register("stream_lookup_enrich_json", LOOKUP_JSON)
@@ -811,28 +905,17 @@ def stream_lookup_enrich_json(spark, sf_dir):
     return read_back(rows.select("message_key", "value", "original"))
 
 
-@register("race_position_job", f"""
-WITH {EVENTS}, drv AS (SELECT meeting_key, session_key, driver_number, {DRIVER} FROM ev
-  WHERE event_type = 'signup' QUALIFY row_number() OVER (
-    PARTITION BY meeting_key, session_key, driver_number ORDER BY event_id) = 1)
-SELECT strftime(date_trunc('milliseconds', ts), '%Y-%m-%d %H:%M:%S.%f') AS date, meeting_key,
-  session_key, driver_number, {POSITION}, version, full_name, name_acronym, team_name,
-  headshot_url
-FROM ev JOIN drv USING (meeting_key, session_key, driver_number)
-WHERE event_type = 'purchase'""")
+@register("race_position_job", picked(
+    3, JOINED, "strftime(date_trunc('milliseconds', ts), '%Y-%m-%d %H:%M:%S.%f')"
+))
 def race_position_job(spark, sf_dir):
-    """Kafka-shaped JSON rows of two topics through the job into the serving table."""
+    """Kafka-shaped JSON rows of two topics, in three batches, through the job into the serving table."""
     root = scratch_path(spark, "race-position")
-    events = standins.with_number(table_stream(spark, sf_dir, "events"))
-    joined = jobs.enriched_telemetry(
-        standins.kafka_rows(standins.position(events)),
-        standins.kafka_rows(standins.drivers(events)),
-        "position",
-    )
-    writer = serving.batch_writer("position", path=f"{root}/position")
-    with run.state_per_core(spark):
-        run.start(
-            joined, "race-position", f"{root}/checkpoint", writer, trigger=run.BOUNDED
-        ).awaitTermination()
+    events = standins.with_number(landed(spark, sf_dir, root, 3))
+    jobs.start_telemetry(
+        standins.kafka_rows(standins.position(events)), standins.kafka_rows(standins.drivers(events)),
+        "position", serving.batch_writer("position", path=f"{root}/position"), f"{root}/checkpoint",
+        run.BOUNDED,
+    ).awaitTermination()
     table = versions.consistent_read(serving.read_path(spark, "position", f"{root}/position"))
     return micros_text(table.withColumn("driver_number", F.col("driver_number").cast("long")))

@@ -58,7 +58,7 @@ def running_average(
         )
         rows = rows.unionByName(first, allowMissingColumns=True)
     if plan is None:
-        rows = rows.withColumn(BLOCK, F.lit(0))
+        rows = rows.withColumn(BLOCK, F.lit(0).cast("long"))
     else:
         rows = plan.tag(rows)
         earlier = across_blocks(keys).rowsBetween(Window.unboundedPreceding, -1)
@@ -96,17 +96,45 @@ def inactivity_average(
     counts as followed by silence. Rows without a time are left out. Output: keys, event
     time of the last record, average.
     """
-    df = df.filter(F.col(event_time).isNotNull())
-    plan = plan_blocks(df, keys, event_time, block_rows)
-    # Records of one key and time act together, so they are summed before the window.
-    moments = df.groupBy(*keys, event_time).agg(
+    moments = moments_of(df, keys, value, event_time)
+    return silences(moments, keys, event_time, gap_seconds, out, block_rows)
+
+
+def moments_of(df: DataFrame, keys: Sequence[str], value: str, event_time: str) -> DataFrame:
+    """The (_sum, _count) of every key and time; records of one key and time act together."""
+    return df.filter(F.col(event_time).isNotNull()).groupBy(*keys, event_time).agg(
         F.sum(F.col(value).cast("double")).alias("_sum"), F.count(value).alias("_count")
     )
+
+
+def silences(
+    moments: DataFrame,
+    keys: Sequence[str],
+    event_time: str,
+    gap_seconds: float,
+    out: str = "average",
+    block_rows: int | None = None,
+    opening: DataFrame | None = None,
+    until: int | None = None,
+) -> DataFrame:
+    """The average so far after every moment that is followed by silence.
+
+    ``moments`` are those of :func:`moments_of`. ``opening`` gives what keys start from, as the
+    (count, sum) of :func:`partial_sums`. With ``until``, in microseconds, only moments count
+    whose gap ended before it; the others are there to end a silence.
+    """
+    plan = plan_blocks(moments, keys, event_time, block_rows)
+    spread = moments.withColumn("_row", F.lit(1))
+    if opening is not None:
+        # An opening has no time, so it sorts first and into a key's first block.
+        spread = spread.unionByName(opening.select(
+            *keys, F.lit(None).cast(moments.schema[event_time].dataType).alias(event_time),
+            F.col("sum").alias("_sum"), F.col("count").alias("_count"), F.lit(0).alias("_row"),
+        ))
     if plan is None:
-        window = Window.partitionBy(*keys).orderBy(event_time)
-        spread = moments.withColumn("_row", F.lit(1))
+        window = Window.partitionBy(*keys).orderBy("_row", event_time)
     else:
-        tagged = plan.tag(moments)
+        tagged = plan.tag(spread)
         blocks = (
             tagged.filter(HOT)
             .groupBy(*keys, BLOCK)
@@ -130,18 +158,22 @@ def inactivity_average(
         )
         window = block_window(keys, "_row", event_time)
         spread = (
-            tagged.withColumn("_row", F.lit(1))
+            tagged
             .unionByName(before.filter(F.col("_count").isNotNull()), allowMissingColumns=True)
             .unionByName(after, allowMissingColumns=True)
         )
     so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    gap = F.lit(int(gap_seconds * 1_000_000))
     silence = F.unix_micros("_following") - F.unix_micros(event_time)
+    given = F.col("_following").isNull() | (silence > gap)
+    if until is not None:
+        given = given & (F.unix_micros(event_time) + gap < F.lit(until))
     return (
         spread.withColumns({
             out: F.try_divide(F.sum("_sum").over(so_far), F.sum("_count").over(so_far)),
             "_following": F.lead(event_time).over(window),
         })
         .filter("_row = 1")
-        .filter(F.col("_following").isNull() | (silence > F.lit(int(gap_seconds * 1_000_000))))
+        .filter(given)
         .select(*keys, event_time, out)
     )

@@ -55,8 +55,7 @@ def lookup_join(
         return salted.join(copies, on & (F.col("_salt") == F.col("_copy")), "left").drop(
             "_salt", "_copy"
         )
-    # The hot-key table is bounded by count / hot_rows, see hot_keys().
-    marks = F.broadcast(hot.select(F.col(left_key).alias("_hot_key")))
+    marks = hot.select(F.col(left_key).alias("_hot_key"))
     salted = (
         left.join(marks, F.col(left_key) == F.col("_hot_key"), "left")
         .withColumn("_salt", F.when(
@@ -91,7 +90,9 @@ def enrich_json(
     """JSON messages with the four customer fields merged into ``value``.
 
     Unknown customers give four JSON nulls. Messages that are no JSON object, lack
-    ``customer_id``, or match a customer without a creation time pass unchanged.
+    ``customer_id``, or match a customer without a creation time pass unchanged. A broadcast
+    lookup leaves the rows where they are; other joins move them, and :func:`in_source_order`
+    brings them back into the order of a source that numbers its rows.
     """
     # Each message is parsed once, and only what the merge needs goes through the join.
     parsed = messages.withColumn("_document", F.try_parse_json(value))
@@ -111,3 +112,17 @@ def enrich_json(
     complete = F.col("_id").isNull() | F.col("customer_created_at").isNotNull()
     result = F.when(F.col("_customer").isNotNull() & complete, merged).otherwise(F.col(value))
     return found.withColumn(value, result).select(*messages.columns)
+
+
+def in_source_order(
+    rows: DataFrame, partition: str = "partition", offset: str = "offset", one_task: bool = False
+) -> DataFrame:
+    """Rows in the order in which each partition of their source held them, after any join.
+
+    Tasks take ranges of (partition, offset), so files written in the order of their tasks hold
+    every source partition in order, and a hot one is spread over neighbouring tasks. A sink
+    whose tasks write side by side, such as a topic, needs ``one_task`` per source partition,
+    which is how many read it.
+    """
+    dealt = rows.repartition(partition) if one_task else rows.repartitionByRange(partition, offset)
+    return dealt.sortWithinPartitions(partition, offset)

@@ -107,10 +107,10 @@ def _by_scan(
     firsts = records.groupBy(*keys).agg(F.min(F.struct("_since", "_record")).alias("_entry"))
     plan = plan_blocks(both.select(*keys, arrival), keys, arrival, block_rows)
     if plan is None:
-        spread = both.withColumn(BLOCK, F.lit(0))
-        openings = firsts.withColumn(BLOCK, F.lit(0))
+        spread = both.withColumn(BLOCK, F.lit(0).cast("long"))
+        openings = firsts.withColumn(BLOCK, F.lit(0).cast("long"))
     else:
-        spread = plan.tag(both)
+        spread = plan.tag(both, "_row")
         # Last record of every block, then the last one before each block.
         lasts = (
             spread.filter(HOT)
@@ -123,8 +123,8 @@ def _by_scan(
         hot_openings = carried.join(firsts, list(keys)).select(
             *keys, BLOCK, F.coalesce("_carried", "_entry").alias("_entry")
         )
-        cold_firsts = firsts.join(F.broadcast(plan.hot), list(keys), "left_anti")
-        openings = cold_firsts.withColumn(BLOCK, F.lit(0)).unionByName(hot_openings)
+        cold_firsts = firsts.join(plan.hot, list(keys), "left_anti")
+        openings = cold_firsts.withColumn(BLOCK, F.lit(0).cast("long")).unionByName(hot_openings)
     spread = spread.unionByName(
         openings.withColumn("_row", F.lit(0)), allowMissingColumns=True
     )

@@ -1,10 +1,12 @@
 """Ordered per-key work that survives hot keys.
 
-A window partitioned by key runs each key in one task, so a key with a third of all
-rows would not scale. Here keys above ``block_rows`` rows are cut into blocks along
-the order column. A window then runs per (key, block), and what a block needs from
-the others (a running sum, the last known value) enters as one extra row per block.
-Keys below the bound stay whole. All rows are shuffled once, and no row is dropped.
+A window partitioned by key runs each key in one task, so a key with a third of all rows would
+not scale. Here the rows of keys above ``block_rows`` rows are dealt by ranges of (key, order)
+and cut into blocks of at most ``block_rows`` rows. A window then runs per (key, block), and what
+a block needs from the others (a running sum, the last known value) enters as one extra row per
+block, found by a second scan over one summary row per block. Rows of equal order are told apart
+by a hash of the whole row, so they part into blocks like all others. Keys below the bound stay
+whole, no row is dropped, and neither keys nor bounds pass through the driver.
 """
 
 from __future__ import annotations
@@ -12,92 +14,66 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rillflow.plans.shared import keys_as, same_keys, written
+
 BLOCK = "_block"
 HOT = "_hot"
 BLOCK_ROWS = 4_000_000
-MAX_BLOCKS = 8192
-LONG_MAX = 2**63 - 1
-
-
-def position(df: DataFrame, order: str) -> Column:
-    """The order column as a long, so that blocks can be cut on it."""
-    kind = df.schema[order].dataType
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(order)
-    if isinstance(kind, T.TimestampNTZType):
-        return F.unix_micros(F.col(order).cast("timestamp"))
-    if isinstance(kind, T.DateType):
-        return F.unix_date(order).cast("long")
-    if isinstance(kind, T.IntegralType):
-        return F.col(order).cast("long")
-    raise TypeError(f"order column {order!r} must be integral or a time, not {kind}")
+#: Rows that one task of a range deal sorts, about; it may cut them into many blocks.
+TASK_ROWS = 4_000_000
+#: Bits that monotonically_increasing_id gives to the row within its task (a fixed value).
+_ROW_BITS = 33
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame | None:
-    """The keys with more than ``rows`` rows, or None when there are none.
+    """The keys with more than ``rows`` rows and their number ``_rows``, or None if there are none.
 
-    There are at most count / ``rows`` of them, so they are held as a local table.
+    A written table of at most count / ``rows`` rows: Spark's own size check decides how it is
+    joined.
     """
-    return _local_keys(df, keys, _count_hot(df, keys, rows))
-
-
-def _count_hot(df: DataFrame, keys: Sequence[str], rows: int) -> list[Row]:
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.filter(F.col("_rows") > rows).collect()
-
-
-def _local_keys(df: DataFrame, keys: Sequence[str], found: list[Row]) -> DataFrame | None:
-    if not found:
-        return None
-    schema = T.StructType([df.schema[key] for key in keys])
-    return df.sparkSession.createDataFrame([tuple(row)[:-1] for row in found], schema)
+    found = written(counts.filter(F.col("_rows") > rows), "hot-keys")
+    return None if found.isEmpty() else found
 
 
 @dataclass(frozen=True)
 class BlockPlan:
-    """Which keys are cut, and where along the order column."""
+    """Which keys are cut, along which column, and into how many tasks."""
 
     keys: tuple[str, ...]
     order: str
     hot: DataFrame
-    bounds: tuple[int, ...]
+    block_rows: int
+    tasks: int
 
-    def tag(self, df: DataFrame) -> DataFrame:
-        """Add whether the key is hot, and its block: 0 for whole keys, else from 1 on."""
-        marks = self.hot.select(
-            *[F.col(key).alias(f"_hot_{key}") for key in self.keys], F.lit(True).alias("_mark")
-        )
-        same_key = [F.col(key).eqNullSafe(F.col(f"_hot_{key}")) for key in self.keys]
-        # The hot-key table is bounded by count / block_rows, see hot_keys().
-        marked = df.join(F.broadcast(marks), same_key, "left")
-        hot = F.col("_mark").isNotNull()
-        placed = marked.withColumns({
-            HOT: hot,
-            BLOCK: F.when(hot, 1).otherwise(0),
-            "_at": F.when(hot, position(df, self.order)),
-        })
-        for step in self._steps():
-            placed = placed.withColumn(BLOCK, step)
-        return placed.drop("_mark", "_at", *[f"_hot_{key}" for key in self.keys])
-
-    def _steps(self) -> list[Column]:
-        """Binary search for the block, one column expression per halving.
-
-        Each is a projection of its own, so all of them compile to plain code; without
-        an "_at" value the block stays as it is.
+    def tag(self, df: DataFrame, *then: str) -> DataFrame:
+        """Add whether the key is hot, and its block: 0 for whole keys, else from 1 on.
+
+        Blocks follow the order column (null first) and then the columns ``then``.
         """
-        depth = len(self.bounds).bit_length()
-        padded = [*self.bounds, *[LONG_MAX] * (2**depth - 1 - len(self.bounds))]
-        bounds = F.expr("array(" + ",".join(f"{bound}L" for bound in padded) + ")")
-        block, steps = F.col(BLOCK), [2**power for power in reversed(range(depth))]
-        return [
-            block + F.when(F.get(bounds, block + (step - 2)) <= F.col("_at"), step).otherwise(0)
-            for step in steps
-        ]
+        marks, on = keys_as(self.hot, self.keys, "_hot_"), same_keys(self.keys, "_hot_")
+        order = [*self.keys, self.order, *then]
+        tie = F.xxhash64(*df.columns)
+        dealt = (
+            df.join(marks, on, "left_semi")
+            .repartitionByRange(self.tasks, *order, tie)
+            .sortWithinPartitions(*order, tie)
+            .withColumn("_place", F.monotonically_increasing_id())
+        )
+        task = F.shiftright("_place", _ROW_BITS)
+        place = F.col("_place") - F.shiftleft(task, _ROW_BITS)
+        block = F.shiftleft(task, _ROW_BITS) + F.floor(place / self.block_rows) + 1
+        blocks = written(
+            dealt.withColumns({HOT: F.lit(True), BLOCK: block.cast("long")}).drop("_place"), "blocks"
+        )
+        whole = df.join(marks, on, "left_anti").withColumns(
+            {HOT: F.lit(False), BLOCK: F.lit(0).cast("long")}
+        )
+        return whole.unionByName(blocks)
 
 
 def plan_blocks(
@@ -105,25 +81,18 @@ def plan_blocks(
 ) -> BlockPlan | None:
     """Look for hot keys; None means every key may stay whole.
 
-    Costs one counting pass over the key columns and, only if there are hot keys, one
-    quantile pass over their order column.
+    Costs one counting pass over the key columns.
     """
     block_rows = block_rows or BLOCK_ROWS
-    found = _count_hot(df, keys, block_rows)
-    hot = _local_keys(df, keys, found)
+    kind = df.schema[order].dataType
+    if not isinstance(kind, (T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        raise TypeError(f"order column {order!r} must be integral or a time, not {kind}")
+    hot = hot_keys(df, keys, block_rows)
     if hot is None:
         return None
-    total = sum(row["_rows"] for row in found)
-    blocks = min(MAX_BLOCKS, -(-total // block_rows))
-    hot_rows = df.select(*keys, position(df, order).alias("_at")).alias("r").join(
-        F.broadcast(hot).alias("h"),
-        [F.col(f"r.{key}").eqNullSafe(F.col(f"h.{key}")) for key in keys],
-        "left_semi",
-    )
-    cuts = [part / blocks for part in range(1, blocks)]
-    # The error of a cut is at most an eighth of a block.
-    places = hot_rows.agg(F.percentile_approx("_at", cuts, 8 * blocks)).first()[0]
-    return BlockPlan(tuple(keys), order, hot, tuple(sorted(set(places or []))))
+    total = hot.agg(F.sum("_rows")).first()[0]
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return BlockPlan(tuple(keys), order, hot, block_rows, max(least, -(-total // TASK_ROWS)))
 
 
 def block_window(keys: Sequence[str], *order: Column | str):
@@ -132,5 +101,5 @@ def block_window(keys: Sequence[str], *order: Column | str):
 
 
 def across_blocks(keys: Sequence[str]):
-    """Block summaries of one key in order; at most ``MAX_BLOCKS`` rows each."""
+    """Block summaries of one key in order: its rows / ``block_rows``, and two per task more."""
     return Window.partitionBy(*keys).orderBy(BLOCK)

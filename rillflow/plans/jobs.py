@@ -13,6 +13,7 @@ from rillflow.sinks import files, serving
 from rillflow.sources import kafka
 from rillflow.streaming import run
 from rillflow.streaming.reference import reference_join_stream
+from rillflow.streaming.reference_tables import ReferenceJoin
 
 TELEMETRY = ("car_data", "location", "position")
 
@@ -51,16 +52,20 @@ def order_enrichment(
     name: str = "order_enrichment",
     trigger: dict | None = None,
     salts: int = 16,
+    ordered: bool = False,
+    **sizing,
 ) -> StreamingQuery:
     """Stream of JSON orders to a sink of JSON orders with customer fields.
 
     ``customers`` is called for every micro-batch, so the lookup is as fresh as the
     batch and its size is checked each time. ``salts`` counts only where the lookup is
-    too large to broadcast.
+    too large to broadcast. With ``ordered`` the messages carry ``partition`` and ``offset``,
+    and the sink gets those of each partition in one task and in the order of their offsets.
     """
 
     def enrich(batch: DataFrame, batch_id: int) -> None:
-        sink(lookup.enrich_json(batch, customers(), salts=salts), batch_id)
+        found = lookup.enrich_json(batch, customers(), salts=salts, **sizing)
+        sink(lookup.in_source_order(found, one_task=True) if ordered else found, batch_id)
 
     return run.start(messages, name, checkpoint_root, enrich, trigger=trigger)
 
@@ -81,6 +86,44 @@ def enriched_telemetry(
     return joined.select(*schemas.SERVING[feed].fieldNames())
 
 
+def telemetry_join(
+    telemetry_rows: DataFrame, driver_rows: DataFrame, feed: str, state_path: str, salts: int = 8
+) -> ReferenceJoin:
+    """The same join on tables below ``state_path``, by built-in joins per micro-batch."""
+    return ReferenceJoin(
+        kafka.versioned_records(telemetry_rows, feed),
+        kafka.ordered_drivers(driver_rows),
+        state_path,
+        version="order",
+        arrival="kafka_time",
+        salts=salts,
+    )
+
+
+def start_telemetry(
+    telemetry_rows: DataFrame,
+    driver_rows: DataFrame,
+    feed: str,
+    writer: Callable[[DataFrame, int], None],
+    checkpoint_root: str,
+    trigger: dict | None = None,
+    salts: int = 8,
+    name: str | None = None,
+) -> StreamingQuery:
+    """Start the query of one telemetry topic into its serving table.
+
+    Its tables lie beside its checkpoint, as they belong to it.
+    """
+    name = name or feed
+    join = telemetry_join(telemetry_rows, driver_rows, feed, f"{checkpoint_root}/{name}-tables", salts)
+    columns = schemas.SERVING[feed].fieldNames()
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        writer(rows.select(*columns), batch_id)
+
+    return run.start(join.inputs(), name, checkpoint_root, join.step(write), trigger=trigger)
+
+
 def race_telemetry(
     topics: Mapping[str, DataFrame],
     writer: Callable[[str], Callable[[DataFrame, int], None]],
@@ -96,10 +139,9 @@ def race_telemetry(
     drivers = kafka.typed_records(topics["drivers"], "drivers")
     queries = [run.start(drivers, "drivers", checkpoint_root, writer("drivers"), trigger=trigger)]
     for feed in TELEMETRY:
-        enriched = enriched_telemetry(topics[feed], topics["drivers"], feed, salts)
-        queries.append(
-            run.start(enriched, feed, checkpoint_root, writer(feed), trigger=trigger)
-        )
+        queries.append(start_telemetry(
+            topics[feed], topics["drivers"], feed, writer(feed), checkpoint_root, trigger, salts
+        ))
     return queries
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
 from rillflow.operators import averages as batch_averages
+from rillflow.plans.shared import BatchTable, keys_as, same_keys, written
 from rillflow.schemas import columns
 from rillflow.streaming import opaque
 
@@ -65,13 +66,16 @@ class InactivityProcessor(StatefulProcessor):
         return -(-last_micros // 1000) + self.gap_millis
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        count, total, last = self.sums.get() or (0, 0.0, None)
+        count, total, before = self.sums.get() or (0, 0.0, None)
+        last = before
         for chunk in rows:
             count += int(chunk["count_"].sum())
             total += float(chunk["value_"].sum())
             newest = int(chunk["micros_"].max())
             last = newest if last is None else max(last, newest)
         self.sums.update((count, total, last))
+        if before is not None and self._due(before) != self._due(last):
+            self.handle.deleteTimer(self._due(before))
         self.handle.registerTimer(self._due(last))
         yield from ()
 
@@ -152,36 +156,107 @@ def running_average_batches(
 ) -> Callable[[DataFrame, int], None]:
     """Function for ``foreachBatch``: the batch operator on each micro-batch.
 
-    The (count, sum) of every key so far is kept below ``sums_path``, one folder per
-    batch. A batch that runs again finds the sums of the one before it and overwrites
-    its own, so a retry gives the same rows. Folders before the last two batches are no
-    longer read.
+    The (count, sum) of every key is kept below ``sums_path`` as a :class:`BatchTable`, to which
+    a batch adds only the keys it has rows of. A batch that runs again finds the sums of the
+    one before it and overwrites its own, so a retry gives the same rows.
     """
 
     def average(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         schema = T.StructType([*[batch.schema[key] for key in keys], *SUMS.fields])
-        before = None
-        if batch_id > 0:
-            before = spark.read.schema(schema).parquet(f"{sums_path}/batch={batch_id - 1}")
+        table = BatchTable(batch.sparkSession, sums_path, schema, tuple(keys))
+        before = table.before(batch_id) if batch_id > 0 else None
         sink(
             batch_averages.running_average(
                 batch, keys, value, order, out, block_rows, opening=before
             ),
             batch_id,
         )
-        sums = batch_averages.partial_sums(
-            batch.withColumn(value, F.col(value).cast("double")), keys, value
-        )
-        if before is not None:
-            sums = before.unionByName(sums).groupBy(*keys).agg(
-                F.sum("count").alias("count"), F.sum("sum").alias("sum")
-            )
-        sums.write.mode("overwrite").parquet(f"{sums_path}/batch={batch_id}")
+        table.write(batch_id, _added(
+            before, batch_averages.partial_sums(
+                batch.withColumn(value, F.col(value).cast("double")), keys, value
+            ), keys,
+        ))
 
     return average
 
 
+def _added(before: DataFrame | None, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The (count, sum) of the keys in ``new``, with what they had before."""
+    new = new.withColumn("new_", F.lit(True))
+    if before is not None:
+        new = new.unionByName(before.withColumn("new_", F.lit(False)))
+    return new.groupBy(*keys).agg(
+        F.sum("count").alias("count"), F.sum("sum").alias("sum"), F.max("new_").alias("new_")
+    ).filter("new_").drop("new_")
+
+
+def inactivity_average_batches(
+    keys: Sequence[str],
+    value: str,
+    event_time: str,
+    state_path: str,
+    sink: Callable[[DataFrame, int], None],
+    gap_seconds: float = 5.0,
+    lateness_seconds: float = 0.0,
+    out: str = "average",
+    block_rows: int | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """Function for ``foreachBatch``: the average so far after every silence of every key.
+
+    A silence is given out in the first batch whose watermark, the newest event time so far less
+    ``lateness_seconds``, lies beyond its end; rows before the watermark of the batch before are
+    late and left out, and so are rows without a time. So the rows given out don't hang on how
+    the stream is cut. Below ``state_path`` each batch keeps the (count, sum) of the keys it
+    settled, all moments whose gap is still open, and the watermark. What is open reaches back
+    ``gap_seconds`` and the lateness from the newest time, whatever the length of the stream.
+
+    A batch that runs again overwrites its own state and gives the same rows. A hot key is cut
+    into blocks as in the batch operator.
+    """
+    gap, lateness = int(gap_seconds * 1_000_000), int(lateness_seconds * 1_000_000)
+    micros = F.unix_micros(event_time)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        key_fields = [batch.schema[key] for key in keys]
+        moment = T.StructType([
+            *key_fields, batch.schema[event_time], *columns("_sum double, _count long").fields
+        ])
+        sums = BatchTable(
+            spark, f"{state_path}/sums", T.StructType([*key_fields, *SUMS.fields]), tuple(keys)
+        )
+        open_moments = BatchTable(spark, f"{state_path}/open", moment, full_every=1)
+        marks = BatchTable(spark, f"{state_path}/watermark", columns("micros long"), full_every=1)
+        known = marks.before(batch_id).first()
+        known = known["micros"] if known else None
+        new = batch_averages.moments_of(batch, keys, value, event_time)
+        if known is not None:
+            new = new.filter(micros >= F.lit(known))
+        moments = written(
+            new.unionByName(open_moments.before(batch_id)).groupBy(*keys, event_time).agg(
+                F.sum("_sum").alias("_sum"), F.sum("_count").alias("_count")
+            ), "moments", f"{state_path}/moments/{batch_id % 2}",
+        )
+        newest = moments.agg(F.max(micros)).first()[0]
+        if newest is not None:
+            newest -= lateness
+        mark = max((at for at in (known, newest) if at is not None), default=None)
+        settled = F.lit(False) if mark is None else micros + gap < F.lit(mark)
+        touched = keys_as(moments, keys, "own_").distinct()
+        before = sums.before(batch_id).join(touched, same_keys(keys, "own_"), "left_semi")
+        if mark is not None:
+            sink(batch_averages.silences(
+                moments, keys, event_time, gap_seconds, out, block_rows, opening=before, until=mark
+            ), batch_id)
+        sums.write(batch_id, _added(before, moments.filter(settled).groupBy(*keys).agg(
+            F.sum("_count").alias("count"), F.sum("_sum").alias("sum")
+        ), keys))
+        open_moments.write(batch_id, moments.filter(~settled))
+        marks.write(batch_id, spark.range(1).select(F.lit(mark).cast("long").alias("micros")))
+
+    return step
+
+
 def average_updates(
     df: DataFrame, keys: Sequence[str], value: str, out: str = "average"
 ) -> DataFrame:
@@ -204,8 +279,9 @@ def inactivity_average_stream(
     """Average so far of every key that stays silent for the gap, by event time.
 
     Rows are summed per key before the shuffle, so a hot key sends one row per Arrow
-    batch to its state. Timers follow the watermark. A bounded run therefore ends before
-    the timers of the newest records are due; use the batch operator for bounded data.
+    batch to its state, and of the silences inside a micro-batch only a key's last counts;
+    :func:`inactivity_average_batches` gives out every one. Timers follow the watermark. A
+    bounded run therefore ends before the timers of the newest records are due.
     """
     names = _group_names(keys)
     key_fields = [T.StructField(name, df.schema[key].dataType) for name, key in zip(names, keys)]

@@ -144,3 +144,22 @@ def test_inactivity_with_a_hot_key(spark, block_rows):
     data += [("same", 7, 1.0)] * 100
     data += [(f"k{n % 30}", rand.randrange(400), rand.uniform(0, 9)) for n in range(300)]
     close(inactivity(spark, data, block_rows=block_rows), silent(data, 5))
+
+
+def test_rows_of_one_time_part_into_blocks(spark):
+    """One arrival with far more rows than a block, repeated rows among them."""
+    df = spark.range(3000).select(
+        F.lit("hot").alias("k"), F.when(F.col("id") < 2500, 7).otherwise(F.col("id")).alias("n"),
+        (F.col("id") % 400).alias("v"),
+    )
+    found = plan_blocks(df, ["k"], "n", 100).tag(df)
+    sizes = found.groupBy(BLOCK).agg(F.count("*").alias("rows"), F.min("n").alias("low"), F.max("n").alias("high"))
+    sizes = sizes.orderBy(BLOCK).collect()
+    assert max(row["rows"] for row in sizes) <= 100 and sum(row["rows"] for row in sizes) == 3000
+    assert all(a["high"] <= b["low"] for a, b in zip(sizes, sizes[1:]))
+
+
+def test_no_key_and_no_bound_passes_the_driver(spark):
+    df = spark.range(1000).select((F.col("id") % 2).alias("k"), "id", F.rand(1).alias("v"))
+    plan = plan_text(averages.running_average(df, ["k"], "v", "id", block_rows=10))
+    assert "LocalTableScan" not in plan and "array(" not in plan

@@ -136,3 +136,40 @@ def test_lookup_is_fresh_in_every_batch(spark, folder):
             .write.mode("append").text(landed)
         once()
     assert seen == ["before", "after"]
+
+
+@pytest.mark.parametrize("sizing", STRATEGIES)
+def test_order_of_the_source_survives_every_plan(spark, customers, folder, sizing):
+    texts = [(n % 3, n // 3, f'{{"customer_id": {[12, 3, 99][n % 7 % 3]}, "n": {n}}}') for n in range(90)]
+    messages = spark.createDataFrame(texts[::-1], "partition int, offset long, value string").repartition(5)
+    enriched = lookup.enrich_json(messages, customers, **sizing)
+    for one_task in (False, True):
+        path = folder()
+        lookup.in_source_order(enriched, one_task=one_task).write.parquet(path)
+        found = spark.read.parquet(path).select(
+            "partition", "offset", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")
+        ).collect()
+        for part in range(3):
+            own = sorted((r for r in found if r["partition"] == part), key=lambda r: (r["file"], r["row"]))
+            assert [r["offset"] for r in own] == list(range(30))
+            assert not one_task or len({r["file"] for r in own}) == 1
+
+
+def test_ordered_job(spark, customers, folder):
+    path, root, seen = folder(), folder(), []
+    rows = [(n % 2, n, f'{{"customer_id": 12, "n": {n}}}') for n in range(40)]
+    spark.createDataFrame(rows[::-1], "partition int, offset long, value string").write.parquet(path)
+    stream = spark.readStream.schema("partition int, offset long, value string").parquet(path)
+
+    def keep(batch, batch_id):
+        for part in batch.rdd.glom().collect():
+            seen.append([(r["partition"], r["offset"]) for r in part])
+
+    jobs.order_enrichment(
+        stream, lambda: customers, keep, root, trigger=run.BOUNDED, ordered=True, broadcast_rows=0, hot_rows=5
+    ).awaitTermination()
+    found = [place for part in seen for place in part]
+    assert sorted(found) == sorted((n % 2, n) for n in range(40))
+    for task in seen:
+        assert task == sorted(task)
+    assert all(sum(any(p == part for p, _ in task) for task in seen) == 1 for part in range(2))

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from frames import rows
+from frames import plan_text, rows
 from rillflow import schemas
 from rillflow.operators import averages, dashboard, reference, versions
 from rillflow.plans import jobs
@@ -15,6 +15,7 @@ from rillflow.sinks import serving
 from rillflow.streaming import averages as stream_averages
 from rillflow.streaming import run
 from rillflow.streaming.reference import reference_join_stream, waiting_state
+from rillflow.streaming.reference_tables import ReferenceJoin
 
 START = datetime(2026, 5, 3, 20)
 
@@ -273,3 +274,144 @@ def test_query_names_fix_the_checkpoint(spark, folder):
             lambda batch, n: seen.extend(r.v for r in batch.collect()), trigger=run.BOUNDED,
         ).awaitTermination()
     assert seen == [1]
+
+
+def silent_rows(spark, folder, data, cuts, retried=False, **options):
+    """What the batch-wise inactivity average gives out of ``data`` cut at ``cuts``."""
+    schema = "k string, ts timestamp, v double"
+    feed, root, out = Feed(spark, folder(), schema), folder(), folder()
+
+    def keep(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    step = stream_averages.inactivity_average_batches(
+        ["k"], "v", "ts", f"{root}/state", keep, 5, **options
+    )
+
+    def twice(batch, batch_id):
+        step(batch, batch_id)
+        step(batch, batch_id)
+
+    for start, end in zip([0, *cuts], [*cuts, len(data)]):
+        feed.land(data[start:end])
+        run.start(
+            feed.stream(), "silent", root, twice if retried else step, trigger=run.BOUNDED
+        ).awaitTermination()
+    return [(r.k, r.ts, round(r.average, 9)) for r in spark.read.parquet(out).orderBy("k", "ts").collect()]
+
+
+@pytest.mark.parametrize("block_rows", [None, 6])
+def test_every_silence_however_the_stream_is_cut(spark, folder, block_rows):
+    rand, at, data = random.Random(3), 0.0, []
+    for n in range(160):
+        at += rand.choice([0.0, 0.5, 3.0, 5.0])
+        key = rand.choice(["hot", "hot", "a", None])
+        data.append((key, START + timedelta(seconds=at), None if n % 11 == 0 else float(n)))
+    batch = averages.inactivity_average(
+        spark.createDataFrame(data, "k string, ts timestamp, v double"), ["k"], "v", "ts", 5
+    )
+    newest = max(ts for _, ts, _ in data)
+    want = sorted(
+        ((r.k, r.ts, round(r.average, 9)) for r in batch.collect() if r.ts + timedelta(seconds=5) < newest),
+        key=lambda r: (r[0] is not None, r),
+    )
+    assert len(want) > 8
+    assert silent_rows(spark, folder, data, [], block_rows=block_rows) == want
+    cut = silent_rows(spark, folder, data, [40, 41, 90, 150], retried=True, block_rows=block_rows)
+    assert cut == want
+
+
+def test_lateness_waits_and_late_rows_are_left_out(spark, folder):
+    at = lambda second: START + timedelta(seconds=second)
+    data = [("a", at(0), 1.0), ("a", at(20), 3.0), ("a", at(4), 5.0), ("a", at(40), 7.0), ("a", None, 9.0)]
+    assert silent_rows(spark, folder, data, [2, 3]) == [("a", at(0), 1.0), ("a", at(20), 2.0)]
+    assert silent_rows(spark, folder, data, [2, 3], lateness_seconds=18.0) == [("a", at(4), 3.0)]
+
+
+def test_replaced_timers_are_deleted(spark, folder):
+    feed, root = Feed(spark, folder(), "k string, ts timestamp, v double"), folder()
+    for second in (0, 2, 4):
+        feed.land([(key, START + timedelta(seconds=second), 1.0) for key in "ab"])
+        drain(
+            stream_averages.inactivity_average_stream(feed.stream(), ["k"], "v", "ts", 60), "silent", root
+        )
+    timers = (
+        spark.read.format("statestore").option("readRegisteredTimers", True).load(f"{root}/checkpoint/silent")
+    )
+    assert timers.count() == 2
+
+
+def joined_rows(spark, folder, steps, retried=False, **options):
+    """Rows of the table-based join after all steps, and the join."""
+    telemetry, drivers = Feed(spark, folder(), TELEMETRY), Feed(spark, folder(), DRIVERS)
+    root, out = folder(), folder()
+    join = ReferenceJoin(telemetry.stream(), drivers.stream(), f"{root}/tables", **options)
+
+    def keep(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    def twice(batch, batch_id):
+        join.step(keep)(batch, batch_id)
+        join.step(keep)(batch, batch_id)
+
+    for landed in steps:
+        for feed, records in zip((telemetry, drivers), landed):
+            if records:
+                feed.land(records)
+        run.start(
+            join.inputs(), "join", root, twice if retried else join.step(keep), trigger=run.BOUNDED
+        ).awaitTermination()
+    return spark.read.parquet(out).drop("batch"), join
+
+
+STEPS = [
+    ([spot(1, 1), spot(2, 2), spot(1, 3, session=2), spot(1, 4)], []),
+    ([], [driver(1, 5), driver(9, 6)]),
+    ([spot(1, 7)], [driver(1, 8)]),
+    ([spot(1, 9), spot(2, 10)], []),
+    ([(START, None, 1, 1, 0, 0, 0, 12)], [driver(2, 11)]),
+]
+
+
+@pytest.mark.parametrize("options", [
+    {}, {"full_every": 2}, {"full_every": 1, "broadcast_rows": 0, "salts": 3, "hot_rows": 1},
+])
+def test_table_join_over_batches_and_restarts(spark, folder, options):
+    found, join = joined_rows(spark, folder, STEPS, retried=bool(options), **options)
+    batch = reference.reference_join(
+        spark.createDataFrame([r for step in STEPS for r in step[0]], TELEMETRY),
+        spark.createDataFrame([r for step in STEPS for r in step[1]], DRIVERS), arrival="version",
+    )
+    # Held rows go out once.
+    assert rows(found.select(*batch.columns)) == rows(batch)
+    assert {r.version for r in join.waiting(spark, len(STEPS)).collect()} == {3}
+
+
+def test_table_join_takes_the_first_record_then_the_last(spark, folder):
+    found, _ = joined_rows(spark, folder, [
+        ([spot(1, n) for n in range(1, 50)], [driver(1, 60), driver(1, 55), driver(1, 70)]),
+        ([spot(1, 100)], [driver(1, 10)]),
+        ([spot(1, 101)], []),
+    ])
+    names = {r.version: r.full_name for r in found.collect()}
+    assert len(names) == 51 and {names[n] for n in range(1, 50)} == {"name 1 55"}
+    assert (names[100], names[101]) == ("name 1 70", "name 1 10")
+
+
+def test_table_join_forgets_rows_after_a_while(spark, folder):
+    found, join = joined_rows(
+        spark, folder, [([spot(1, 1)], []), ([], [driver(1, 2)])], ttl_seconds=0.0
+    )
+    assert found.count() == 0
+
+
+def test_table_join_has_no_python(spark, folder):
+    telemetry, drivers = Feed(spark, folder(), TELEMETRY), Feed(spark, folder(), DRIVERS)
+    telemetry.land([spot(1, 1)])
+    drivers.land([driver(1, 2)])
+    join, plans = ReferenceJoin(telemetry.stream(), drivers.stream(), folder()), []
+    run.start(
+        join.inputs(), "join", folder(), join.step(lambda batch, _: plans.append(plan_text(batch))),
+        trigger=run.BOUNDED,
+    ).awaitTermination()
+    assert plans and not any(word in plan for plan in plans for word in ("Python", "Pandas", "Arrow", "from_json"))
