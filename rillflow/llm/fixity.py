@@ -33,20 +33,25 @@ def tree(records: DataFrame, volume: str = "volume", ordinal: str = "ordinal",
 
     Nothing but digests and counts leaves the tasks that read the records. A node gathers at
     most ``fanout`` children. Several records at one place form one leaf of their number and
-    their smallest and largest digest; null volumes are one volume, null ordinals come first.
+    the sums of the words of all their digests, in no order; null volumes are one volume, null
+    ordinals come first.
     """
     bytes_ = F.octet_length(record).cast("long")
+    # Four words of 60 bits; their sums tell which digests there are, however many.
+    words = [
+        F.sum(F.conv(F.substring(F.sha2("hash", 256), 1 + 15 * i, 15), 16, 10).cast("decimal(38,0)"))
+        .alias(f"word{i}") for i in range(4)
+    ]
     leaves = records.select(
         F.col(volume).alias("volume_"), F.coalesce(F.col(ordinal).cast("long") + 1, F.lit(0)).alias("at"),
         F.coalesce(F.sha2(F.col(record).cast("binary"), 256), F.lit("null")).alias("hash"),
         F.coalesce(bytes_, F.lit(0)).alias("bytes"),
     ).groupBy("volume_", "at").agg(
-        F.count("*").alias("n"), F.min("hash").alias("low"), F.max("hash").alias("high"),
-        F.sum("bytes").alias("bytes"),
+        F.count("*").alias("n"), F.min("hash").alias("low"), F.sum("bytes").alias("bytes"), *words
     ).select(
         "volume_", "at",
         F.when(F.col("n") == 1, F.col("low")).otherwise(
-            F.sha2(F.concat_ws(",", F.col("n").cast("string"), "low", "high"), 256)
+            F.sha2(F.concat_ws(",", *[F.col(c).cast("string") for c in ("n", *(f"word{i}" for i in range(4)))]), 256)
         ).alias("hash"),
         "bytes",
     )

@@ -66,6 +66,48 @@ class Machines:
     languages: list[str]
     families: dict[str, list[str]] = field(default_factory=dict)
     duels: dict[tuple[str, str], tuple[np.ndarray, float]] = field(default_factory=dict)
+    profile: Profile | None = None
+
+
+@dataclass
+class Profile:
+    """What the trigrams of texts in any of the learned languages are like.
+
+    ``logs`` are the log shares of features in the language where they are most frequent, so that
+    a text of several languages is typical, too. Held-out texts have ``middle`` as the median of
+    their mean log share; they stray from it by ``spread``, and short ones by ``one`` a trigram more.
+    """
+
+    logs: np.ndarray
+    middle: float
+    spread: float
+    one: float
+
+    def typicality(self, mean: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """How many deviations texts of ``n`` trigrams lie above (below: negative) the middle."""
+        return (mean - self.middle) / np.sqrt(self.spread ** 2 + self.one ** 2 / np.maximum(n, 1))
+
+
+def fit_profile(x: np.ndarray, labels: np.ndarray) -> Profile:
+    """A profile from rows of trigram counts: half of each language's for the shares, half to measure."""
+    logs, held_out, spreads = [], [], []
+    for language in np.unique(labels):
+        own = x[labels == language]
+        known, rest = (own[::2], own[1::2]) if len(own) > 1 else (own, own)
+        share = (known.sum(axis=0, dtype=np.float64) + 0.5) / (known.sum(dtype=np.float64) + 0.5 * x.shape[1])
+        logs.append(np.log(share))
+        held_out.append(rest)
+        spreads.append(np.sqrt((share * logs[-1] ** 2).sum() - (share * logs[-1]).sum() ** 2))
+    best = np.max(logs, axis=0)
+    means = np.concatenate([
+        rows @ best / sizes for part in held_out
+        for rows, sizes in [(part[part.sum(axis=1) > 0], part.sum(axis=1)[part.sum(axis=1) > 0])]
+    ])
+    if not len(means):
+        return Profile(best, float(best.mean()), 1.0, float(np.mean(spreads)))
+    middle = float(np.median(means))
+    spread = 1.4826 * float(np.median(np.abs(means - middle)))
+    return Profile(best, middle, max(spread, 0.05), float(np.mean(spreads)))
 
 
 def train_machine(x: np.ndarray, y: np.ndarray, cost: float = 1.0, epochs: int = 40
@@ -96,6 +138,7 @@ def fit(x: np.ndarray, labels: list[str], languages: list[str]) -> Machines:
         machines.families.setdefault(family_of(language), []).append(language)
     if not len(x):
         return machines
+    machines.profile = fit_profile(x, np.array(labels))
     x = x / np.maximum(x.sum(axis=1, keepdims=True), 1)
     scale = 1 / np.sqrt(x.mean(axis=0) + 1e-6)
     scale /= np.sqrt(((x * scale) ** 2).sum(axis=1).mean()) + 1e-12
@@ -172,6 +215,20 @@ def predict_slice(machines: Machines, column: pa.Array) -> tuple[list[str], np.n
     return found.tolist(), np.round(score, 6)
 
 
+def typicality_slice(machines: Machines, column: pa.Array) -> np.ndarray:
+    """How typical the texts of a slice are of all learned languages; 0 without trigrams."""
+    if machines.profile is None:
+        return np.zeros(len(column))
+    data, at = text_parts(column)
+    first, last = _spans(at)
+    grams = trigrams(data) if len(data) > 2 else np.zeros(0, np.int64)
+    sums = np.r_[0.0, np.cumsum(machines.profile.logs[grams])]
+    first, last = np.minimum(first, len(grams)), np.minimum(last, len(grams))
+    n = last - first
+    mean = (sums[last] - sums[first]) / np.maximum(n, 1)
+    return np.where(n > 0, machines.profile.typicality(mean, n), 0.0)
+
+
 def train(docs: DataFrame, trains: Column, id_col: str, text_col: str, lang_col: str,
           per_language: int = 400, most_languages: int = 100, seed: int = 11) -> Machines:
     """Machines learned from labelled rows where ``trains`` holds.
@@ -226,28 +283,36 @@ def train(docs: DataFrame, trains: Column, id_col: str, text_col: str, lang_col:
 
 def identify(
     docs: DataFrame, machines: Machines, id_col: str = "doc_id", text_col: str = "text",
-    keep: tuple[str, ...] = (),
+    keep: tuple[str, ...] = (), typicality: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: its id, the columns of ``keep``, lang_pred and score.
 
+    With ``typicality`` there is a column of that name: deviations by which the text's trigrams
+    are more (negative: less) usual than those of learned texts, whatever their language. Dumps
+    of numbers, random letters and languages never learned lie far below.
+
     ``lang_pred`` is a learned language, or ``und`` with score 0 where the text is null or
     has no letter, or nothing was learned. ``score`` (0 to 1) multiplies how surely the
     winner won its closest duel among families and among languages. Whole texts are read;
-    a text under three bytes falls to the biases. Equal texts give equal results; columns
-    of the two names in ``keep`` are not allowed. The machines travel with the tasks: their
+    a text under three bytes falls to the biases. Equal texts give equal results; names of
+    results in ``keep`` are an error. The machines travel with the tasks: their
     size is bounded by the number of languages.
     """
     names = list(dict.fromkeys([id_col, *keep]))
-    schema = T.StructType([docs.schema[name] for name in names] + [
-        T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
-    ])
+    results = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    if typicality:
+        results.append(T.StructField("typicality", T.DoubleType()))
+    if clash := {field.name for field in results} & set(names):
+        raise ValueError(f"names of results can't be kept: {sorted(clash)}")
+    schema = T.StructType([docs.schema[name] for name in names] + results)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text_col):
-            found, score = predict_slice(machines, batch.column(text_col))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(name) for name in names] + [pa.array(found), pa.array(score)],
-                names=schema.names,
-            )
+            texts = batch.column(text_col)
+            found, score = predict_slice(machines, texts)
+            columns = [batch.column(name) for name in names] + [pa.array(found), pa.array(score)]
+            if typicality:
+                columns.append(pa.array(typicality_slice(machines, texts)))
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return batched(docs.select(*dict.fromkeys([*names, text_col]))).mapInArrow(run, schema)

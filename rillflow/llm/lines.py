@@ -6,13 +6,14 @@ stand, and no chunk inside a text is shorter than two lines. Chunks of several l
 before, byte for byte, are taken out everywhere but at their first place.
 
 A repeated passage shares its outer chunks with the lines around it, so whole chunks leave its
-edges behind. ``dedup_runs`` compares every run of a few lines instead, and the whole passage goes.
+edges behind. ``dedup_passages`` takes repeated chunks as what is settled and compares, in all
+other chunks and across the borders between chunks, every run of a few lines, so that a passage
+goes to its very ends, also one that holds no whole chunk.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from rillflow.llm.common import as_row, batched, held, row_columns, slices
 
@@ -84,44 +86,61 @@ def _solid_chunks(lines: list[bytes], window: int, reach: int, most: int, min_li
             yield start, end
 
 
-def _solid_runs(lines: list[bytes], min_lines: int):
+def _solid_runs(solid: list[int], min_lines: int):
     """Every run from a line with something in it to the last of ``min_lines`` such lines."""
-    solid = [at for at, line in enumerate(lines) if line.strip()]
     for first, last in zip(solid, solid[min_lines - 1:]):
         yield first, last + 1
 
 
-def chunked(docs: DataFrame, id_col: str, text_col: str, parts: Callable) -> DataFrame:
-    """Rows (id_, text_hash_, chunks): the ranges that ``parts`` finds in the lines of a text.
+def _chunks_and_runs(lines: list[bytes], window: int, reach: int, most: int, min_lines: int):
+    """Chunks as (first, end, runs inside), and one (0, 0, runs) with the runs across borders.
 
-    Repeats inside a text stay in the list.
+    A chunk goes from its first to its last line with something in it; without ``min_lines``
+    such lines it can't repeat by itself, and its runs count as those across borders.
     """
+    solid = [at for at, line in enumerate(lines) if line.strip()]
+    runs, found, across, at, place = list(_solid_runs(solid, min_lines)), [], [], 0, 0
+    for start, end in _chunks_of(lines, window, reach, most):
+        first = place
+        while place < len(solid) and solid[place] < end:
+            place += 1
+        inside = []
+        while at < len(runs) and runs[at][0] < end:
+            (inside if runs[at][1] <= end else across).append(runs[at])
+            at += 1
+        if place - first >= min_lines:
+            found.append((solid[first], solid[place - 1] + 1, inside))
+        else:
+            across += inside
+    if across:
+        found.append((0, 0, across))
+    return found
+
+
+def _range_hashes(lines: list[bytes], start: int, end: int) -> dict:
+    joined = b"\n".join(lines[start:end])
+    return {
+        "first_line": start, "n_lines": end - start,
+        "h1": _signed(xxhash.xxh64_intdigest(joined, 1)), "h2": _signed(xxhash.xxh64_intdigest(joined, 2)),
+    }
+
+
+def _per_text(docs: DataFrame, id_col: str, text_col: str, kind: T.DataType, parts: Callable) -> DataFrame:
+    """Rows (id_, text_hash_, chunks): a list of ``kind``, what ``parts`` makes of the lines of a text."""
     schema = T.StructType([
         T.StructField("id_", docs.schema[id_col].dataType),
         T.StructField("text_hash_", T.LongType()),
-        T.StructField("chunks", T.ArrayType(CHUNK)),
+        T.StructField("chunks", T.ArrayType(kind)),
     ])
+    chunks = to_arrow_type(T.ArrayType(kind))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text_"):
-            found = []
-            for text in batch.column("text_").to_pylist():
-                own = []
-                lines = text.encode().split(b"\n") if text else []
-                for start, end in parts(lines):
-                    joined = b"\n".join(lines[start:end])
-                    own.append({
-                        "first_line": start, "n_lines": end - start,
-                        "h1": _signed(xxhash.xxh64_intdigest(joined, 1)),
-                        "h2": _signed(xxhash.xxh64_intdigest(joined, 2)),
-                    })
-                found.append(own)
+            found = [
+                parts(text.encode().split(b"\n")) if text else [] for text in batch.column("text_").to_pylist()
+            ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id_"), batch.column("text_hash_"),
-                 pa.array(found, pa.list_(pa.struct([
-                     ("first_line", pa.int32()), ("n_lines", pa.int32()),
-                     ("h1", pa.int64()), ("h2", pa.int64()),
-                 ])))], names=schema.names,
+                [batch.column("id_"), batch.column("text_hash_"), pa.array(found, chunks)], names=schema.names
             )
 
     return batched(docs.select(
@@ -134,24 +153,58 @@ def _signed(number: int) -> int:
     return number - (1 << 64) if number >= 1 << 63 else number
 
 
-def repeated_chunks(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows (id_, text_hash_, gone): the line ranges of repeats, for texts that have any.
+def _more_than_once(places: DataFrame, name: str) -> DataFrame:
+    """Hashes that occur more than once, with their first place.
 
-    Chunks whose two hashes occur once are dropped first, so only the others' bytes are
-    shuffled. These are grouped by the bytes themselves: each task brings equal chunks down
-    to one row before the shuffle, however many texts share them. A chunk is a repeat if
-    the group of its hashes holds one byte sequence only and it isn't its first place.
+    Held, so that Spark deals both sides of a join to them anew and can split the rows of a
+    range that a large part of the texts share.
     """
+    return held(places.groupBy("h1", "h2").agg(
+        F.count("*").alias("n"), F.min(F.struct("id_", "text_hash_", "first_line")).alias("first")
+    ).filter("n > 1").drop("n"), name)
+
+
+def likely_chunks(found: DataFrame) -> DataFrame:
+    """Places (id_, text_hash_, h1, h2, first_line, n_lines) of chunks whose hashes occur twice."""
     places = found.select("id_", "text_hash_", F.explode("chunks").alias("c")).select(
         "id_", "text_hash_", "c.*"
     )
-    # Tables of one row per hash are held, so that Spark deals both sides of the joins anew
-    # and can split the rows of a chunk that a large part of the texts share.
-    twice = held(
-        places.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("h1", "h2"),
-        "twice",
+    twice = _more_than_once(places, "twice")
+    return held(places.join(twice.drop("first"), ["h1", "h2"]), "likely")
+
+
+def likely_passages(found: DataFrame) -> DataFrame:
+    """The same for chunks, and for the runs that lie in no chunk with an earlier place.
+
+    Runs inside a chunk with an earlier place go with it, and occur at that place as well, so
+    only the others are looked for.
+    """
+    parts = found.select("id_", "text_hash_", F.explode("chunks").alias("c")).select(
+        "id_", "text_hash_", "c.chunk.*", "c.runs"
+    )
+    chunks = _more_than_once(parts.drop("runs").filter("n_lines > 0"), "twice")
+    marked = parts.join(chunks, ["h1", "h2"], "left")
+    place = F.struct("id_", "text_hash_", "first_line")
+    settled = F.col("first").isNotNull() & (place != F.col("first"))
+    runs = held(
+        marked.filter(~settled).select("id_", "text_hash_", F.explode("runs").alias("r"))
+        .select("id_", "text_hash_", "r.*"), "runs",
+    )
+    names = ["id_", "text_hash_", "h1", "h2", "first_line", "n_lines"]
+    repeated = runs.join(_more_than_once(runs, "twice").drop("first"), ["h1", "h2"])
+    return held(
+        marked.filter(F.col("first").isNotNull()).select(*names).unionByName(repeated.select(*names)), "likely"
     )
-    likely = held(places.join(twice, ["h1", "h2"]), "likely")
+
+
+def proven_repeats(docs: DataFrame, likely: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows (id_, text_hash_, gone): the line ranges of repeats, for texts that have any.
+
+    Only the bytes of ``likely`` ranges are shuffled. These are grouped by the bytes themselves:
+    each task brings equal ranges down to one row before the shuffle, however many texts share
+    them. A range is a repeat if the group of its hashes holds one byte sequence only and it
+    isn't its first place.
+    """
     lists = likely.groupBy("id_", "text_hash_").agg(
         F.collect_set(F.struct("h1", "h2", "first_line", "n_lines")).alias("likely")
     )
@@ -200,34 +253,48 @@ def dedup_lines(
     and text count as one and come out alike; rows of null id are told apart by their text.
     Input columns of the three names are replaced, others pass through; no row is dropped.
     """
-    parts = partial(_solid_chunks, window=window, reach=reach, most=most, min_lines=min_lines)
-    return _without_repeats(docs, id_col, text_col, parts)
+    def parts(lines: list[bytes]) -> list[dict]:
+        return [_range_hashes(lines, *at) for at in _solid_chunks(lines, window, reach, most, min_lines)]
+
+    found = held(_per_text(docs, id_col, text_col, CHUNK, parts).filter(F.size("chunks") > 0), "chunks")
+    return _without(docs, proven_repeats(docs, likely_chunks(found), id_col, text_col), id_col, text_col)
 
 
-def dedup_runs(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = 2,
+def dedup_passages(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 2,
+    reach: int = 1, most: int = 24, min_lines: int = 2,
 ) -> DataFrame:
     """``docs`` with ``clean_text``, ``n_lines`` and ``n_removed_lines``; repeated passages go whole.
 
-    A run is ``min_lines`` lines with something in them that follow each other, and the blank
-    lines between them. Every run that has an earlier place (smaller id, then line), in one text
-    or in several, is removed; runs overlap, so of a longer passage every line goes, wherever it
-    stands. A line goes only if it has an earlier copy, so each distinct line stays somewhere.
-    Two runs are the same if their bytes are. Blank lines around a run stay, unless nothing
-    else of the text does.
+    Chunks of at least ``min_lines`` lines with something in them go wherever they have an earlier
+    place (smaller id, then line), in one text or in several. In what is left, and across borders
+    of chunks, a run is ``min_lines`` lines with something in them that follow each other, and the
+    blank lines between them; every run with an earlier place goes, too. Runs overlap, so of a
+    repeated passage every line goes, wherever it stands. A line goes only if it has an earlier
+    copy, so each distinct line stays somewhere. Chunks and runs are the same if their bytes are.
+    Blank lines around them stay, unless nothing else of the text does.
 
     Null, empty and repeated texts and clashing names: as in :func:`dedup_lines`.
     """
-    return _without_repeats(docs, id_col, text_col, partial(_solid_runs, min_lines=min_lines), True)
+    def parts(lines: list[bytes]) -> list[dict]:
+        return [
+            {"chunk": _range_hashes(lines, start, end), "runs": [_range_hashes(lines, *at) for at in runs]}
+            for start, end, runs in _chunks_and_runs(lines, window, reach, most, min_lines)
+        ]
+
+    kind = T.StructType([T.StructField("chunk", CHUNK), T.StructField("runs", T.ArrayType(CHUNK))])
+    found = held(_per_text(docs, id_col, text_col, kind, parts).filter(F.size("chunks") > 0), "chunks")
+    gone = proven_repeats(docs, likely_passages(found), id_col, text_col)
+    cleaned = _without(docs, gone, id_col, text_col)
+    blank = (F.col("n_removed_lines") > 0) & ~F.col("clean_text").rlike(r"\S")
+    return cleaned.withColumns({
+        "clean_text": F.when(blank, F.lit("")).otherwise(F.col("clean_text")),
+        "n_removed_lines": F.when(blank, F.col("n_lines")).otherwise(F.col("n_removed_lines")),
+    })
 
 
-def _without_repeats(docs: DataFrame, id_col: str, text_col: str, parts: Callable,
-                     drop_blank: bool = False) -> DataFrame:
-    """``docs`` without the repeats among ``parts``, and texts left blank empty if wanted."""
-    found = held(
-        chunked(docs, id_col, text_col, parts).filter(F.size("chunks") > 0), "chunks",
-    )
-    gone = repeated_chunks(docs, found, id_col, text_col)
+def _without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` without the lines that are ``gone``."""
     texts = as_row(docs, "clean_text", "n_lines", "n_removed_lines")
     text = F.col("row_").getField(text_col)
     joined = texts.withColumn("doc_hash_", F.xxhash64(text)).join(
@@ -244,15 +311,8 @@ def _without_repeats(docs: DataFrame, id_col: str, text_col: str, parts: Callabl
         ), "\n",
     ))[0]
     n_lines = F.when(text.isNull(), 0).otherwise(F.size(F.split(text, "\n")))
-    cleaned = joined.select(
+    return joined.select(
         *row_columns(joined),
         F.when(F.col("gone").isNull(), text).otherwise(left).alias("clean_text"),
         n_lines.cast("long").alias("n_lines"), F.size(lost).cast("long").alias("n_removed_lines"),
     )
-    if not drop_blank:
-        return cleaned
-    blank = (F.col("n_removed_lines") > 0) & ~F.col("clean_text").rlike(r"\S")
-    return cleaned.withColumns({
-        "clean_text": F.when(blank, F.lit("")).otherwise(F.col("clean_text")),
-        "n_removed_lines": F.when(blank, F.col("n_lines")).otherwise(F.col("n_removed_lines")),
-    })

@@ -161,7 +161,9 @@ def mix_plan(docs: DataFrame, levels: list[str], weights: dict[tuple, float], sh
     cuts = ends.select("path", "end").join(cuts, "path", "left").select(
         "path", F.coalesce("cut", "end").alias("cut")
     )
-    return held(plan.join(cuts, "path", "left"), "plan")
+    # A leaf without tokens has no end: all of its order fits, beyond every hexadecimal key.
+    whole = F.when(F.col("available") == 0, F.lit("~"))
+    return held(plan.join(cuts, "path", "left").withColumn("cut", F.coalesce(whole, "cut")), "plan")
 
 
 def _inside(rows: DataFrame, ends: DataFrame, digits: int) -> DataFrame:

@@ -113,7 +113,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op1_line_dedup")
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated passages of lines removed from all documents: what is left of each."""
-    clean = lines.dedup_runs(documents(spark, sf_dir).select("doc_id", "text"))
+    clean = lines.dedup_passages(documents(spark, sf_dir).select("doc_id", "text"))
     return clean.select(
         "doc_id", "n_lines", "n_removed_lines", F.length("clean_text").cast("long").alias("n_chars_left"),
         F.sha2("clean_text", 256).alias("clean_sha256"),
@@ -212,7 +212,7 @@ FROM r WHERE is_missing OR is_changed"""
 def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as WARC records: a volume per file, in the order of its rows."""
     return spark.read.parquet(f"{sf_dir}/pages.parquet").select(
-        "page_id", "url", "html", F.col("_metadata.file_name").alias("volume"),
+        "page_id", "url", "html", F.col("_metadata.file_path").alias("volume"),
         F.col("_metadata.row_index").alias("ordinal"),
     )
 

@@ -56,3 +56,16 @@ def test_record(spark):
         "<p>ü</p>\r\n\r\n"
     )
     assert found[1].endswith("Content-Length: 0\r\n\r\n\r\n\r\n")
+
+
+def test_a_middle_record_of_one_place_counts(spark):
+    """Of many records at one place, here without ordinals, any single change shows."""
+    rows = [("a", None, f"record {i}", "x") for i in range(9)]
+    whole = fixity.tree(spark.createDataFrame(rows, SCHEMA))
+    for i in range(9):
+        damaged = [(*r[:2], r[2] + "!" if n == i else r[2], "x") for n, r in enumerate(rows)]
+        found = fixity.audit(whole, fixity.tree(spark.createDataFrame(damaged, SCHEMA))).collect()
+        assert [(r["volume_"], r["at"], r["problem"]) for r in found] == [("a", -1, "changed")]
+    # The same number of records, but one twice and another not at all.
+    swapped = fixity.tree(spark.createDataFrame([*rows[:-1], rows[0]], SCHEMA))
+    assert fixity.audit(whole, swapped).count() == 1

@@ -1,17 +1,41 @@
 import random
 
+import xxhash
 from helpers import frame, odd_rows, row
 
 from rillflow.llm import lines
 
 
+def plain_chunks(own, window, reach, most):
+    """Boundaries by the rule: a line whose rolling hash is the lowest among its neighbours ends a chunk."""
+    rolling = []
+    for i in range(len(own)):
+        total = 0
+        for back in range(min(window, i + 1)):
+            total += xxhash.xxh64_intdigest(own[i - back]) * ((2 * back + 3) ** 7 | 1)
+        total %= 1 << 64
+        rolling.append(total ^ total >> 32)
+    cuts = [
+        i + 1 for i in range(reach, len(own))
+        if all(rolling[i] < x for x in rolling[i - reach:i]) and all(rolling[i] <= x for x in rolling[i + 1:i + 1 + reach])
+    ]
+    start = 0
+    for cut in sorted({*cuts, len(own)} - {0}):
+        while cut - start > most:
+            end = start + rolling.index(min(rolling[start:start + most]), start) - start + 1
+            yield start, end
+            start = end
+        yield start, cut
+        start = cut
+
+
 def plain(rows, window=2, reach=1, most=24, min_lines=2):
     """The same rule with whole chunks in a dictionary; equal rows count as one."""
     chunks = {}
     for r in sorted(set((r[0], r[1]) for r in rows), key=lambda x: (x[0] is not None, x[0] or 0)):
         if r[1]:
             own = r[1].encode().split(b"\n")
-            for start, end in lines._chunks_of(own, window, reach, most):
+            for start, end in plain_chunks(own, window, reach, most):
                 if sum(bool(x.strip()) for x in own[start:end]) >= min_lines:
                     chunks.setdefault(b"\n".join(own[start:end]), []).append((r, start, end))
     gone = {}
@@ -114,7 +138,7 @@ def test_passages_go_whole(spark):
             rows.append(row(number, "\n".join(own[:at] + shared + own[at:])))
     rows += [row(5000, "same\nlines\n" * 40), row(5001, None), row(5002, ""), row(5003, "\n\n\n\n"),
              row(5004, "a one\n\nb two\n"), row(5005, "\na one\n\nb two\n\n"), row(5006, "a one\nb two")]
-    df = lines.dedup_runs(frame(spark, rows))
+    df = lines.dedup_passages(frame(spark, rows))
     got = sorted(
         map(tuple, df.select("doc_id", "clean_text", "n_lines", "n_removed_lines").collect()), key=repr
     )
@@ -128,9 +152,44 @@ def test_passages_go_whole(spark):
 
 def test_runs_of_odd_rows(spark):
     odd = [r for r in odd_rows() if r[0] is not None]
-    df = lines.dedup_runs(frame(spark, odd))
+    df = lines.dedup_passages(frame(spark, odd))
     assert sorted(
         map(tuple, df.select("doc_id", "clean_text", "n_lines", "n_removed_lines").collect()), key=repr
     ) == plain_runs(odd)
-    assert lines.dedup_runs(frame(spark, odd_rows())).count() == len(odd_rows())
-    assert lines.dedup_runs(frame(spark, [])).count() == 0
+    assert lines.dedup_passages(frame(spark, odd_rows())).count() == len(odd_rows())
+    assert lines.dedup_passages(frame(spark, [])).count() == 0
+
+
+def test_repeated_chunks_settle_most_runs(spark):
+    """Copies are found as chunks; only runs outside of them are compared one by one."""
+    rng = random.Random(9)
+    texts = ["\n".join(f"line {rng.random()}" for _ in range(60)) for _ in range(5)]
+    rows = [row(10 * copy + n, text) for n, text in enumerate(texts) for copy in range(6)]
+    docs = frame(spark, rows).select("doc_id", "text")
+    every = sum(59 for _ in rows)
+    seen = {}
+    plain_held = lines.held
+
+    def watched(df, name):
+        seen[name] = plain_held(df, name)
+        return seen[name]
+
+    lines.held = watched
+    try:
+        cleaned = lines.dedup_passages(docs)
+        assert cleaned.filter("n_removed_lines = 60").count() == 25
+    finally:
+        lines.held = plain_held
+    assert seen["runs"].count() < 0.62 * every
+
+
+def test_chunks_and_runs_cover_every_pair():
+    rng = random.Random(10)
+    for _ in range(200):
+        own = [rng.choice([b"", b" ", b"a", b"b", b"c%d" % rng.randrange(50)]) for _ in range(rng.randrange(40))]
+        solid = [i for i, x in enumerate(own) if x.strip()]
+        parts = lines._chunks_and_runs(own, 2, 1, 24, 2)
+        runs = sorted(run for _, _, runs in parts for run in runs)
+        assert runs == [(a, b + 1) for a, b in zip(solid, solid[1:])]
+        for start, end, inside in parts:
+            assert all(start <= a and b <= end for a, b in inside) or (start, end) == (0, 0)

@@ -92,3 +92,12 @@ def test_empty_and_native(spark):
     assert mixed.count() == 0
     plan = mixing.mix(frame(spark, corpus()), ["lang"], {}, 0.5, 1, 1)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_leaf_without_tokens_comes_along(spark):
+    rows = [row(1, None, "xx"), row(2, "", "xx"), row(3, " \n", "xx"), row(4, "a b c", "en"), row(5, "d e", "en")]
+    for share in (0.0, 0.5, 1.0):
+        mixed = mixing.mix(frame(spark, rows), ["lang"], {}, share, 2, 3)
+        found = sorted(((r["doc_id"], r["mix_tokens"], r["mix_copies"]) for r in mixed.collect()), key=repr)
+        assert found == plain(rows, ["lang"], {}, share, 2, 3)
+        assert [copies for n, _, copies in found if n < 4] == [1, 1, 1]

@@ -1,9 +1,11 @@
 import itertools
 import math
+import random
 import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from helpers import WORD, frame, lowered, odd_rows, row
 from pyspark.sql import functions as F
 
@@ -41,6 +43,65 @@ def test_languages_of_odd_rows(spark):
     assert languages.identify(frame(spark, []), machines).count() == 0
 
 
+def test_winners_are_those_of_plain_duels():
+    """Predictions against duels counted one by one, over trigrams listed one by one."""
+    import pyarrow as pa
+    rng = np.random.default_rng(7)
+    codes = ["en", "de", "nl", "fr", "es", "fi"]
+    machines = languages.fit(rng.poisson(2, (90, languages.FEATURES)), codes * 15, codes)
+    texts = ["the house", "das Haus am Meer", "ÀÉ ça", "a", "x y z " * 40, "1 2 3 a"]
+
+    def fold(b):
+        return b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32
+
+    def margin(names, text):
+        weights, bias = machines.duels[names]
+        data = [fold(b) for b in text.encode()]
+        grams = [
+            ((a << 16 | b << 8 | c) * 0x9E3779B1 >> 12) & (languages.FEATURES - 1)
+            for a, b, c in zip(data, data[1:], data[2:])
+        ]
+        return sum(weights[g] for g in grams) / max(len(grams), 1) + bias
+
+    def winner(names, text):
+        names = sorted(names)
+        wins, sums = Counter(), Counter()
+        for one, two in itertools.combinations(names, 2):
+            m = margin((one, two), text)
+            wins[one if m > 0 else two] += 1
+            sums[one] += m
+            sums[two] -= m
+        return max(names, key=lambda name: (wins[name], sums[name]))
+
+    found, _ = languages.predict_slice(machines, pa.array(texts))
+    assert found == [winner(machines.families[winner(machines.families, text)], text) for text in texts]
+
+
+def test_what_is_no_language_is_not_typical(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    held_out = crc_remainder("doc_id", 4) == 2
+    machines = languages.train(docs, ~held_out, "doc_id", "text", "lang")
+    clean = languages.identify(docs.filter(held_out), machines, typicality=True).join(labels, "doc_id")
+    assert clean.filter("quality = 1 AND typicality < -8").count() == 0
+    draw = random.Random(3)
+    hexes = "".join(draw.choice("0123456789abcdef") for _ in range(900))
+    noise = [
+        hexes, " ".join(hexes[i:i + 4] for i in range(0, 900, 4)),
+        "".join(draw.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/") for _ in range(900)),
+        "".join(draw.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(900)),
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem.",
+    ]
+    short = ["the house and the river", "Und", "de la", "x"]
+    found = languages.identify(
+        frame(spark, [row(i, text) for i, text in enumerate(noise + short)]), machines, typicality=True
+    ).orderBy("doc_id").collect()
+    assert all(r["typicality"] < -8 for r in found[:5]) and all(r["typicality"] > -7 for r in found[5:])
+    for name in ("score", "typicality"):
+        with pytest.raises(ValueError):
+            languages.identify(docs.withColumn(name, F.lit(1)), machines, keep=(name,), typicality=True)
+
+
 def test_slices_do_not_matter():
     import pyarrow as pa
     machines = languages.fit(

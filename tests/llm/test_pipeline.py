@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 from helpers import frame, linked, odd_rows, roots, shingles
-from test_lines import plain as plain_lines
+from test_lines import plain_runs as plain_lines
 from test_mixing import plain as plain_mix
 
 import corpus_pipeline
@@ -70,3 +70,29 @@ def test_odd_rows_pass_all_stages(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = held(stage(spark, docs, SF_DIR), "stage")
     assert docs.count() > 0
+
+
+def test_stages_of_empty_tables(spark):
+    docs = frame(spark, [])
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF_DIR)
+        assert docs.count() == 0
+
+
+def test_what_each_stage_does_with_odd_rows(spark):
+    docs = frame(spark, odd_rows())
+    stages = dict(corpus_pipeline.STAGES)
+    ids = lambda df: sorted((r["doc_id"] for r in df.collect()), key=repr)
+    spoken = stages["language_id"](spark, docs, SF_DIR)
+    assert spoken.columns == corpus_pipeline.COLUMNS
+    assert not {3, 4, 5} & set(ids(spoken)) and {1, 2, 7, 8, 9} <= set(ids(spoken))
+    clean = stages["line_dedup"](spark, docs, SF_DIR)
+    assert ids(clean) == ids(docs)
+    single = stages["near_duplicates"](spark, docs, SF_DIR)
+    assert {3, 4, 5, 7} <= set(ids(single)) and not {2, 6, 8} & set(ids(single))
+    mixed = stages["source_mixing"](spark, docs, SF_DIR)
+    assert set(ids(mixed)) <= set(ids(docs))
+    encoded = stages["encoding"](spark, docs, SF_DIR)
+    assert ids(encoded) == ids(docs)
+    none = [r for r in encoded.collect() if r["doc_id"] in (3, 4)]
+    assert [(r["n_tokens"], r["tokens_base64"]) for r in none] == [(0, "")] * 2
