@@ -18,8 +18,10 @@ from rillflow.llm.common import held
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: Under this score a language is a guess; the text goes.
-LEAST_SCORE = 0.1
+#: Texts further than this from those of all learned languages, in deviations, are in none of them.
+#: Clean held-out texts of the given tables lie above -7; dumps of digits and letters reach from -8
+#: down, foreign languages from -20.
+LEAST_TYPICAL = -8.0
 LEVELS = ["lang", "source"]
 #: English and German get twice the share of the others.
 WEIGHTS = {("en",): 2.0, ("de",): 2.0}
@@ -27,16 +29,28 @@ SHARE, EPOCHS, SEED = 0.9, 2, 17
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts get the language found in them; those without one go (null, no letters, a guess)."""
+    """Texts get the language found in them; those in no learned language go.
+
+    These are null texts, texts without a letter, and texts whose trigrams are not those of any
+    learned language (``LEAST_TYPICAL``). Short texts stay unless they are far off, very long ones
+    are read whole, and repeated rows are treated alike. Ids, sources and labels may be null. If no
+    row has a label, or there are no rows, nothing can be told and nothing stays. Columns beyond
+    those of documents are dropped, here and in all stages.
+    """
     machines = languages.train(docs, F.lit(True), "doc_id", "text", "lang")
-    found = languages.identify(docs.select(COLUMNS), machines, keep=tuple(COLUMNS))
-    return found.filter((F.col("lang_pred") != languages.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)) \
-        .withColumn("lang", F.col("lang_pred")).select(COLUMNS)
+    found = languages.identify(docs.select(COLUMNS), machines, keep=tuple(COLUMNS), typicality=True)
+    return found.filter(
+        (F.col("lang_pred") != languages.UNDETERMINED) & (F.col("typicality") >= LEAST_TYPICAL)
+    ).withColumn("lang", F.col("lang_pred")).select(COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated chunks of lines are taken out; texts of which nothing is left go."""
-    clean = lines.dedup_lines(docs.select(COLUMNS))
+    """Repeated passages of lines are taken out; texts of which nothing is left go.
+
+    Null and empty texts have no repeats and stay. Rows equal in id and text are treated alike; of
+    equal passages the one at the smallest id stays (null ids first). No rows: none.
+    """
+    clean = lines.dedup_passages(docs.select(COLUMNS))
     left = (F.col("n_removed_lines") == 0) | F.col("clean_text").rlike(r"\S")
     return clean.filter(left).select(
         "doc_id", F.col("clean_text").alias("text"), "lang", "source",
@@ -45,12 +59,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays (five words, similarity 0.8)."""
+    """One document of each group of near duplicates stays (five words, similarity 0.8).
+
+    It is the one of the smallest id; rows that share this id, and rows of null id in a group
+    without any, stay together. Texts without words are in no group and stay. No rows: none.
+    """
     return jaccard.one_per_component(docs.select(COLUMNS), words=5, num=80, den=100)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources mixed to target weights: documents come as often as their leaf's epochs say."""
+    """Sources mixed to target weights: documents come as often as their leaf's epochs say.
+
+    A null language or source is a leaf of its own. Null and empty texts cost nothing; a leaf of
+    nothing else stays whole. Rows equal in id and text come together or not at all. No rows: none.
+    """
     mixed = mixing.mix(docs.select(COLUMNS), LEVELS, WEIGHTS, SHARE, EPOCHS, SEED)
     return mixed.filter("mix_copies > 0").withColumn(
         "copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies")))
@@ -58,7 +80,10 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of every text, and the digest of the bytes they decode to."""
+    """The ids of every text, and the digest of the bytes they decode to.
+
+    Null and empty texts have no ids; equal texts have equal ones. One row per row given.
+    """
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = bpe.encode(docs, path, public_tokenizers.PATTERN, keep=("lang", "source", "n_chars"))
     return bpe.decode(encoded, path).select(
