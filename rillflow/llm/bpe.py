@@ -22,8 +22,8 @@ from pyspark.sql import types as T
 from rillflow.llm.common import batched, slices
 
 #: Pieces and pairs a worker remembers; of a full table the older half goes.
-KEPT_PIECES = 400_000
-KEPT_PAIRS = 600_000
+KEPT_PIECES = 300_000
+KEPT_PAIRS = 400_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -197,20 +197,24 @@ class PrefixTable:
 
 def encode(
     docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
-    text_col: str = "text", keep: tuple[str, ...] = (),
+    text_col: str = "text", keep: tuple[str, ...] = (), with_decoded: bool = False,
 ) -> DataFrame:
-    """One row per row of ``docs``: its id, the columns of ``keep``, and its ids as ``tokens``.
+    """One row per row of ``docs``: its id, the columns of ``keep``, n_tokens, and its ids as ``tokens``.
 
-    ``tokens`` holds the ids as little-endian unsigned 32-bit numbers. Each match of
+    ``with_decoded`` adds the bytes that the ids decode to, as ``decoded``, in the same pass over
+    the texts. Names of results in ``keep`` are an error. ``tokens`` holds the ids as little-endian unsigned 32-bit numbers. Each match of
     ``pattern`` is encoded by itself; no special tokens are added or recognised. Null and
     empty texts have no ids. The file must be readable at ``ranks_path`` on every executor.
     Only the named columns are read; equal rows give equal rows. A very long text is one
     slice; a piece costs steps in proportion to its bytes.
     """
     names = list(dict.fromkeys([id_col, *keep]))
-    schema = T.StructType([docs.schema[name] for name in names] + [
-        T.StructField("n_tokens", T.LongType()), T.StructField("tokens", T.BinaryType()),
-    ])
+    results = [T.StructField("n_tokens", T.LongType()), T.StructField("tokens", T.BinaryType())]
+    if with_decoded:
+        results.append(T.StructField("decoded", T.BinaryType()))
+    if clash := {field.name for field in results} & set(names):
+        raise ValueError(f"names of results can't be kept: {sorted(clash)}")
+    schema = T.StructType([docs.schema[name] for name in names] + results)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks_path, pattern)
@@ -219,12 +223,11 @@ def encode(
                 encoder.encode_packed(text) if text else b""
                 for text in batch.column(text_col).to_pylist()
             ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(name) for name in names]
-                + [pa.array([len(ids) // 4 for ids in found], pa.int64()),
-                   pa.array(found, pa.binary())],
-                names=schema.names,
-            )
+            columns = [batch.column(name) for name in names]
+            columns += [pa.array([len(ids) // 4 for ids in found], pa.int64()), pa.array(found, pa.binary())]
+            if with_decoded:
+                columns.append(pa.array(map(encoder.decode_packed, found), pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return batched(docs.select(*dict.fromkeys([*names, text_col]))).mapInArrow(run, schema)
 

@@ -95,8 +95,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded again: counts and digests."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, path).select(
+    return bpe.encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN, with_decoded=True).select(
         "doc_id", "n_tokens",
         F.sha2("tokens", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )

@@ -70,6 +70,13 @@ def test_ids_are_the_librarys(spark, encoder):
         data = np.array(ids, "<u4").tobytes()
         want.append((r[0], len(ids), hashlib.sha256(data).hexdigest(), (r[1] or "").encode()))
     assert sorted(found, key=repr) == sorted(want, key=repr)
+    both = bpe.encode(frame(spark, rows), RANKS, public_tokenizers.PATTERN, with_decoded=True)
+    assert sorted((
+        (r["doc_id"], r["n_tokens"], hashlib.sha256(r["tokens"]).hexdigest(), bytes(r["decoded"]))
+        for r in both.collect()
+    ), key=repr) == sorted(want, key=repr)
+    with pytest.raises(ValueError):
+        bpe.encode(frame(spark, rows), RANKS, public_tokenizers.PATTERN, keep=("tokens",))
     assert bpe.decode(bpe.encode(frame(spark, []), RANKS, public_tokenizers.PATTERN), RANKS).count() == 0
 
 
