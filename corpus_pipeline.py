@@ -85,8 +85,9 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts have no ids; equal texts have equal ones. One row per row given.
     """
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN, keep=("lang", "source", "n_chars"))
-    return bpe.decode(encoded, path).select(
+    return bpe.encode(
+        docs, path, public_tokenizers.PATTERN, keep=("lang", "source", "n_chars"), with_decoded=True
+    ).select(
         "doc_id", "lang", "source", "n_chars", "n_tokens",
         F.base64("tokens").alias("tokens_base64"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
