@@ -40,6 +40,7 @@ class RunningAverageProcessor(StatefulProcessor):
             yield pd.DataFrame({
                 "packed_": chunk["packed_"],
                 "average_": (sums / counts).where(counts > 0),
+                "counted_": counts,
             })
         self.sums.update((count, total))
 
@@ -122,11 +123,11 @@ def _group_names(keys: Sequence[str]) -> list[str]:
 
 
 def running_average_stream(
-    df: DataFrame, keys: Sequence[str], value: str, out: str = "average"
+    df: DataFrame, keys: Sequence[str], value: str, out: str = "average", counted: str | None = None
 ) -> DataFrame:
     """Average of a key's values so far, one output row per input row.
 
-    Every row of a key passes through that key's state, one chunk after the other.
+    ``counted`` names an optional column with the number of values in the average. Every row of a key passes through that key's state, one chunk after the other.
     :func:`running_average_batches` gives the same rows with hot keys spread, and
     :func:`average_updates` one average per key and batch.
     """
@@ -136,13 +137,15 @@ def running_average_stream(
         .groupBy(*_group_names(keys))
         .transformWithStateInPandas(
             statefulProcessor=RunningAverageProcessor(),
-            outputStructType=columns("packed_ string, average_ double"),
+            outputStructType=columns("packed_ string, average_ double, counted_ long"),
             outputMode="Append",
             timeMode="None",
         )
     )
     row = opaque.unpack(F.col("packed_"), df.schema).alias("_row")
-    return averaged.select(row, F.col("average_").alias(out)).select("_row.*", out)
+    added = {out: "average_", **({counted: "counted_"} if counted else {})}
+    named = averaged.select(row, *[F.col(found).alias(name) for name, found in added.items()])
+    return named.select("_row.*", *added)
 
 
 def running_average_batches(
