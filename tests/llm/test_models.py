@@ -5,12 +5,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import WORD, frame, lowered, odd_rows, row
 from pyspark.sql import functions as F
 
 from rillflow.llm import hidden_markov, languages
-from rillflow.llm.common import crc_remainder
+from rillflow.llm.common import crc_remainder, text_parts, word_hashes
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -151,9 +152,91 @@ def test_forward_and_counts_by_enumeration():
 
 
 def test_pieces_cover_all():
-    lengths = np.array([1, 511, 512, 513, 1024, 5000])
-    pieces = hidden_markov._pieces(lengths)
-    assert pieces.sum() == lengths.sum() and pieces.max() == 512 and pieces.min() == 1
+    lengths = np.array([1, 1023, 1024, 1025, 2048, 5000])
+    pieces, first = hidden_markov._pieces(lengths)
+    assert pieces.sum() == lengths.sum() and pieces.max() == 1024 and pieces.min() == 1
+    assert first.sum() == len(lengths) and list(np.add.reduceat(pieces, np.flatnonzero(first))) == list(lengths)
+
+
+def test_pieces_count_as_whole_texts(monkeypatch):
+    model, draw = small_model(), np.random.default_rng(4)
+    lengths = np.array([1, 7, 30, 8, 3, 64, 9, 2])
+    classes = draw.integers(0, 5, lengths.sum())
+    whole = hidden_markov.expected_counts(model, classes, lengths)
+    for size in (1, 2, 8, 63):
+        monkeypatch.setattr(hidden_markov, "PIECE", size)
+        cut = hidden_markov.expected_counts(model, classes, *hidden_markov._pieces(lengths))
+        for one, other in zip(whole, cut):
+            assert np.allclose(one, other, rtol=1e-4, atol=1e-4)
+
+
+def test_parts_pack_and_unpack():
+    by_state = np.random.default_rng(2).random((6, 50)) * [[1], [5], [0], [2], [9], [1]]
+    parts = hidden_markov.packed_parts(by_state)
+    assert np.allclose(hidden_markov.unpacked_parts(parts, 6), by_state / by_state.sum(axis=0), atol=2e-3)
+    assert np.allclose(hidden_markov.unpacked_parts(hidden_markov.packed_parts(np.ones((1, 3))), 1), 1)
+
+
+def plain_states(start, moves, emits, seen):
+    """Chance of each state at each place, chance of each move, and the log likelihood."""
+    forward = [start * emits[:, seen[0]]]
+    for x in seen[1:]:
+        forward.append((forward[-1] @ moves) * emits[:, x])
+    backward = [np.ones(len(start))]
+    for x in seen[:0:-1]:
+        backward.insert(0, moves @ (emits[:, x] * backward[0]))
+    whole = forward[-1].sum()
+    at = np.array(forward) * np.array(backward) / whole
+    went = sum((
+        f[:, None] * moves * (emits[:, x] * b)[None, :] / whole
+        for f, x, b in zip(forward, seen[1:], backward[1:])
+    ), np.zeros_like(moves))
+    return at, went, math.log10(whole)
+
+
+def test_scores_are_those_of_a_plain_model(spark):
+    """A plain hidden Markov model of words, text by text in dictionaries, gives the same scores."""
+    draw = np.random.default_rng(8)
+    names = [[f"{t}{i}" for i in range(30)] for t in "abc"]
+    texts = [" ".join(draw.choice(names[i % 3], draw.integers(0, 25))) for i in range(60)] + [None, ""]
+    docs = frame(spark, [row(i, t) for i, t in enumerate(texts)]).repartition(3)
+    out = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
+    k, rounds = 3, 2
+    found = {r["doc_id"]: r["score"] for r in hidden_markov.score_texts(
+        docs, crc_remainder("doc_id", 5) == 1, states=k, rounds=rounds).collect()}
+
+    words = sorted({w for t in texts for w in WORD.findall(t or "")})
+    data, at = text_parts(pa.array(words))
+    tied = dict(zip(words, hidden_markov.classes_of(word_hashes(data, at)[0].view(np.int64)).tolist()))
+    tied[None] = hidden_markov.CLASSES
+    tokens = [WORD.findall(t or "") + [None] for t in texts]
+    model = hidden_markov.first_model(k, 3)
+    start, moves, emits = model.start, model.moves, model.emits
+    for _ in range(rounds):
+        s, m, e = np.full(k, 0.1), np.full((k, k), 0.1), np.full(emits.shape, 0.01)
+        for i, text in enumerate(tokens):
+            if not out(i):
+                seen = [tied[w] for w in text]
+                states, went, _ = plain_states(start, moves, emits, seen)
+                s, m = s + states[0], m + went
+                for x, p in zip(seen, states):
+                    e[:, x] += p
+        start, moves, emits = (x / x.sum(axis=-1, keepdims=True) for x in (s, m, e))
+    counts = {}
+    for i, text in enumerate(tokens):
+        if not out(i):
+            for w, p in zip(text, plain_states(start, moves, emits, [tied[w] for w in text])[0]):
+                counts[w] = counts.get(w, 0) + p
+    n = sum(c.sum() for c in counts.values())
+    usual = sum(counts.values()) / n
+    known = sorted(counts, key=str)
+    base = np.array([counts[w].sum() + 0.5 for w in known] + [0.5]) / (n + 0.5 * (len(known) + 1))
+    share = np.array([(counts[w] + usual) / (counts[w].sum() + 1) for w in known] + [usual])
+    by_word = (base[:, None] * share).T
+    by_word /= by_word.sum(axis=1, keepdims=True)
+    for i, text in enumerate(tokens):
+        seen = [known.index(w) if w in counts else len(known) for w in text]
+        assert abs(found[i] - plain_states(start, moves, by_word, seen)[2]) < 0.02 * (1 + len(text) / 10)
 
 
 def test_scores(spark):
@@ -177,11 +260,12 @@ def test_scores(spark):
     assert len(untrained) == len(rows) and all(r["train_tokens"] == 0 for r in untrained)
 
 
-def test_training_helps(spark):
+def test_words_in_states_beat_counting_words(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     held_out = crc_remainder("doc_id", 5) == 1
     total = [
-        hidden_markov.score_texts(docs, held_out, rounds=n).filter("held_out").agg(F.sum("score")).first()[0]
-        for n in (0, 5)
+        hidden_markov.score_texts(docs, held_out, rounds=n).filter("held_out")
+        .agg(F.sum("score"), F.sum("base_score")).first() for n in (0, 3)
     ]
-    assert total[1] > total[0]
+    assert total[1][0] > total[0][0]
+    assert total[1][0] > 0.96 * total[1][1]
