@@ -19,7 +19,9 @@ from rillflow.functions import payloads, times
 from rillflow.operators import averages, dashboard, lookup, merge, prices, reference, versions
 from rillflow.plans import jobs
 from rillflow.session import scratch_path
-from rillflow.sinks import files, kafka, serving
+from rillflow.sinks import files, kafka, serving, settled
+from rillflow.sources import files as source_files
+from rillflow.sources import lookup as lookup_source
 from rillflow.streaming import averages as stream_averages
 from rillflow.streaming import run
 from rillflow.streaming.reference_tables import ReferenceJoin
@@ -165,6 +167,15 @@ def stock_total_job(spark, sf_dir):
     return rounded(spark.read.schema("date string, average double, year int").parquet(path))
 
 
+@register("stock_text_job", ORACLES["stock_total_job"])
+def stock_text_job(spark, sf_dir):
+    """The same from a folder of text files."""
+    source, path = scratch_path(spark, "stock-lines"), scratch_path(spark, "stock-averages")
+    standins.price_lines(spark, sf_dir).select("value").write.text(source)
+    jobs.stock_averages(source_files.text_lines(spark, source), path)
+    return rounded(spark.read.schema("date string, average double, year int").parquet(path))
+
+
 @register("inactivity_average", """
 WITH run AS (
   SELECT user_id, ts, lead(ts) OVER w AS following,
@@ -222,6 +233,16 @@ def lookup_enrich_salted(spark, sf_dir):
     return enriched.select("o_orderkey", "o_totalprice", *schemas.CUSTOMER_FIELDS)
 
 
+@register("lookup_enrich_parquet", ORACLES["lookup_enrich"])
+def lookup_enrich_parquet(spark, sf_dir):
+    """The same with the lookup kept as Parquet."""
+    path = scratch_path(spark, "customers")
+    standins.customers(spark, sf_dir).write.parquet(path)
+    orders = standins.table(spark, sf_dir, "orders")
+    enriched = lookup.enrich_orders(orders, lookup_source.parquet_lookup(spark, path), "o_custkey")
+    return enriched.select("o_orderkey", "o_totalprice", *schemas.CUSTOMER_FIELDS)
+
+
 LOOKUP_JSON = f"""
 WITH {CUSTOMERS}, msg AS (
   SELECT *, substr(o_orderpriority, 1, 1) AS form,
@@ -681,6 +702,32 @@ def json_round_trip(spark, sf_dir):
     return micros_text(decoded.withColumn("date", times.parse_instant(F.col("date"))))
 
 
+@register("landed_feed", ORACLES["json_round_trip"])
+def landed_feed(spark, sf_dir):
+    """Records that someone else landed as files of JSON lines."""
+    path = scratch_path(spark, "landed-positions")
+    kafka.as_messages(standins.position(standins.events(spark, sf_dir))).write.text(path)
+    return micros_text(source_files.landed_records(spark, path, "position"))
+
+
+@register("decode_forms", f"""
+WITH {EVENTS}, form AS (SELECT *, event_id % 9 AS form FROM ev)
+SELECT event_id, form IN (4, 7) AS diverted,
+  CASE WHEN form NOT IN (4, 7) THEN driver_number END AS driver_number,
+  CASE WHEN form = 3 THEN 0 WHEN form NOT IN (4, 7) THEN k % 20 + 1 END AS position,
+  CASE WHEN form NOT IN (4, 7) THEN version END AS version
+FROM form""")
+def decode_forms(spark, sf_dir):
+    """Records as they may come in: numbers as text or with a fraction, a missing field, blank
+    text, text after the object, a field given twice, a word for a number, an unknown field."""
+    messages = standins.record_forms(standins.events(spark, sf_dir))
+    good, bad = payloads.decode_or_divert(messages, schemas.POSITION_FEED, keep=["event_id"])
+    numbers = ("driver_number", "position", "version")
+    return good.select("event_id", F.lit(False).alias("diverted"), *numbers).unionByName(
+        bad.select("event_id", F.lit(True).alias("diverted")), allowMissingColumns=True
+    )
+
+
 @register("driver_table", f"""
 WITH {EVENTS}
 SELECT DISTINCT meeting_key, session_key, CAST(driver_number AS INTEGER) AS driver_number,
@@ -708,6 +755,39 @@ def serving_replay(spark, sf_dir):
     )
 
 
+@register("catalog_tables", ORACLES["driver_table"])
+def catalog_tables(spark, sf_dir):
+    """Drivers appended twice to the table of a catalog that is created twice, as restarts do."""
+    path = scratch_path(spark, "catalog")
+    database = f"race_{path.rsplit('-', 1)[-1]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{path}'")
+    drivers = standins.drivers(standins.events(spark, sf_dir)).drop("arrival")
+    for _ in range(2):
+        serving.create_tables(spark, database, path)
+        serving.append(drivers, "drivers", database)
+    for table in schemas.SERVING:
+        serving.check_table(spark, table, database)
+    return spark.table(f"{database}.drivers").distinct()
+
+
+@register("consistent_read_incremental", ORACLES["serving_replay"])
+def consistent_read_incremental(spark, sf_dir):
+    """A table whose older months were merged twice, between appends that reach back into them."""
+    path, settled_path = scratch_path(spark, "location"), scratch_path(spark, "location-settled")
+    rows = served(spark, sf_dir, "location")
+    parts = [rows.filter(F.col("version") % 3 == part) for part in range(3)]
+    serving.append_path(parts[0].unionByName(parts[1]), "location", path)
+    settled.settle(spark, "location", path, settled_path, lambda at: at["session_key"] <= 8)
+    serving.append_path(parts[2].filter("session_key <= 4").unionByName(parts[0]), "location", path)
+    settled.settle(spark, "location", path, settled_path, lambda at: at["session_key"] <= 6)
+    serving.append_path(parts[2].filter("session_key > 4"), "location", path)
+    table = settled.consistent_read_incremental(spark, "location", path, settled_path)
+    return micros_text(table).select(
+        "meeting_key", "session_key", F.col("driver_number").cast("long").alias("driver_number"),
+        "date", "version", "x", "y", "z",
+    )
+
+
 # Streams ----------------------------------------------------------------------------
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -747,7 +827,8 @@ def batch_rows(root: str) -> Callable[[DataFrame, int], None]:
     return lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
 
 
-def picked(parts: int, columns: str, date: str = "date") -> str:
+def picked(parts: int, columns: str, date: str = "date", event_type: str = "purchase",
+           measures: str = POSITION) -> str:
     """SQL of telemetry with the record that the join knows, in so many batches.
 
     A row takes the last record of the batches before its own; else the first one of its own
@@ -758,7 +839,7 @@ WITH {EVENTS}, cut AS (SELECT *, event_id * {parts} // (SELECT max(event_id) + 1
   FROM ev),
 drv AS (SELECT meeting_key AS m, session_key AS s, driver_number AS d, event_id AS driver_id, b,
     {DRIVER} FROM cut WHERE event_type = 'signup'),
-tel AS (SELECT * REPLACE ({date} AS date), {POSITION} FROM cut WHERE event_type = 'purchase'),
+tel AS (SELECT * REPLACE ({date} AS date), {measures} FROM cut WHERE event_type = '{event_type}'),
 pick AS (SELECT tel.event_id, max(driver_id) FILTER (drv.b < tel.b) AS last_id,
     min(driver_id) FILTER (drv.b >= tel.b) AS next_id
   FROM tel JOIN drv ON m = meeting_key AND s = session_key AND d = driver_number GROUP BY 1)
@@ -929,3 +1010,51 @@ def race_position_job(spark, sf_dir):
     ).awaitTermination()
     table = versions.consistent_read(serving.read_path(spark, "position", f"{root}/position"))
     return micros_text(table.withColumn("driver_number", F.col("driver_number").cast("long")))
+
+
+def sunk(feed: str, event_type: str, measures: str) -> str:
+    """SQL of a telemetry table of the race job, in the columns of ``four_sink_job``."""
+    listed = ", ".join(schemas.MEASURES[feed])
+    columns = f"""'{feed}' AS feed, meeting_key, session_key, driver_number, date, version,
+  concat_ws(',', {listed}) AS measures, full_name"""
+    millis = "strftime(date_trunc('milliseconds', ts), '%Y-%m-%d %H:%M:%S.%f')"
+    return f"SELECT * FROM ({picked(2, columns, millis, event_type, measures)})"
+
+
+@register("four_sink_job", f"""
+{sunk("position", "purchase", POSITION)}
+UNION ALL {sunk("car_data", "click", CAR)}
+UNION ALL {sunk("location", "view", LOCATION)}
+UNION ALL SELECT * FROM (WITH {EVENTS}
+  SELECT 'drivers' AS feed, meeting_key, session_key, driver_number, NULL AS date, NULL AS version,
+    'D' || user_id AS measures, 'driver ' || user_id || ' v' || event_id AS full_name
+  FROM ev WHERE event_type = 'signup')""")
+def four_sink_job(spark, sf_dir):
+    """The four topics of the race job, in two batches each, into their four tables."""
+    root = scratch_path(spark, "race")
+    events = standins.with_number(landed(spark, sf_dir, root, 2))
+    topics = {feed: standins.kafka_rows(of(events)) for feed, of in standins.TELEMETRY.items()}
+    topics["drivers"] = standins.kafka_rows(standins.drivers(events))
+    started = jobs.race_telemetry(
+        topics, jobs.folder_writer(f"{root}/tables"), f"{root}/checkpoint", run.BOUNDED
+    )
+    for query in started:
+        query.awaitTermination()
+    tables = []
+    for feed in schemas.SERVING:
+        table = serving.read_path(spark, feed, f"{root}/tables/{feed}").distinct()
+        measures = schemas.MEASURES.get(feed, ("name_acronym",))
+        if feed == "drivers":
+            table = table.withColumns({
+                "date": F.lit(None).cast("timestamp"), "version": F.lit(None).cast("long"),
+            })
+        tables.append(micros_text(table).select(
+            F.lit(feed).alias("feed"), "meeting_key", "session_key",
+            F.col("driver_number").cast("long").alias("driver_number"), "date", "version",
+            F.concat_ws(",", *[F.col(name).cast("string") for name in measures]).alias("measures"),
+            "full_name",
+        ))
+    whole = tables[0]
+    for table in tables[1:]:
+        whole = whole.unionByName(table)
+    return whole

@@ -65,22 +65,33 @@ def sort_keys(table: str) -> list[str]:
     return list(schemas.DRIVER_KEYS if table == "drivers" else schemas.SERVING_KEYS)
 
 
-def laid_out(df: DataFrame, table: str) -> DataFrame:
-    """Rows sorted for key lookups, for large batch loads.
+def in_key_ranges(df: DataFrame, table: str) -> DataFrame:
+    """Rows sorted for key lookups, for tables that are written once and read often.
 
     Ranges are cut over the whole sort key, so a session with most of the rows is
-    written by many tasks, each with a narrow range of keys per file.
+    written by many tasks, each with a narrow range of keys per file. To find the ranges
+    Spark runs the input a second time.
     """
     keys = sort_keys(table)
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
+def laid_out(df: DataFrame, table: str) -> DataFrame:
+    """Rows of a partition together, for appends: the input runs once.
+
+    Adaptive execution splits a session with most of the rows over several tasks and puts
+    small ones into one, both by their bytes, so a partition gets as many files as it
+    fills. Each file is sorted by key.
+    """
+    return df.hint("rebalance", *schemas.SERVING_PARTITIONS).sortWithinPartitions(*sort_keys(table))
+
+
 def append(
     df: DataFrame, table: str, database: str | None = None, arrange: bool = True
 ) -> None:
     """Append rows to a serving table. Replayed rows are appended again.
 
-    ``arrange=False`` skips the range shuffle and only sorts within each task, which
+    ``arrange=False`` skips the shuffle and only sorts within each task, which
     suits micro-batches that are already spread by key.
     """
     name = _name(table, database)

@@ -169,6 +169,32 @@ def order_messages(orders: DataFrame) -> DataFrame:
     )
 
 
+def record_forms(df: DataFrame) -> DataFrame:
+    """Events as position records in the forms a feed may take, by event.
+
+    1: driver as text; 2: position with a fraction; 3: no position; 4: blank; 5: text after the
+    object; 6: two positions, of which the last is right; 7: a word as position; 8: an unknown
+    field; 0: plain.
+    """
+    form = F.col("event_id") % 9
+    driver, position = F.col("user_id").cast("string"), (F.col("k") % 20 + 1).cast("string")
+    driver = F.when(form == 1, F.concat(F.lit('"'), driver, F.lit('"'))).otherwise(driver)
+    field = F.concat(F.lit(', "position": '), position)
+    field = (
+        F.when(form == 2, F.concat(field, F.lit(".75")))
+        .when(form == 3, "")
+        .when(form == 6, F.concat(F.lit(', "position": 99'), field))
+        .when(form == 7, ', "position": "third"')
+        .when(form == 8, F.concat(field, F.lit(', "note": {"position": 98}')))
+        .otherwise(field)
+    )
+    tail = F.when(form == 5, "} and more").otherwise("}")
+    record = F.concat(
+        F.lit('{"driver_number": '), driver, field, F.lit(', "version": '), "version", tail
+    )
+    return df.select("event_id", F.when(form == 4, "  ").otherwise(record).alias("value"))
+
+
 def kafka_rows(feed: DataFrame) -> DataFrame:
     """A feed as the rows of its Kafka topic; arrival gives partition and offset."""
     return feed.select(

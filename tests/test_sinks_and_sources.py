@@ -97,7 +97,7 @@ def test_a_big_session_is_written_by_many_tasks(spark):
         F.lit(1).alias("meeting_key"), F.lit(1).alias("session_key"),
         (F.col("id") % 20).alias("driver_number"), F.timestamp_seconds("id").alias("date"),
     )
-    spread = serving.laid_out(df, "location").groupBy(F.spark_partition_id()).count()
+    spread = serving.in_key_ranges(df, "location").groupBy(F.spark_partition_id()).count()
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         assert max(r["count"] for r in spread.collect()) < 6_000
