@@ -11,19 +11,60 @@ from pyspark.sql import functions as F
 
 from rillflow.llm.common import SEPARATORS, WORD_GAP
 
-#: Phrases of notices and page furniture, compared in lower case.
-BOILERPLATE = [
-    "all rights reserved", "licensed under", "released under the", "terms of use",
-    "terms of service", "privacy policy", "cookie policy", "accept cookies", "use cookies",
-    "enable javascript", "javascript is disabled", "subscribe to our", "sign up for our",
-    "follow us on", "share this", "copyright ©", "copyright (c)", "lorem ipsum",
-]
-#: Words that open the entries of menus.
-NAVIGATION = [
-    "home", "menu", "login", "log in", "sign in", "sign up", "register", "search", "next",
-    "previous", "back to top", "skip to content", "read more", "click here", "contact us",
-    "about us", "site map", "sitemap",
-]
+#: Phrases of notices and page furniture, compared in lower case, by language.
+NOTICES = {
+    "en": [
+        "all rights reserved", "licensed under", "released under the", "terms of use",
+        "terms of service", "privacy policy", "cookie policy", "accept cookies", "use cookies",
+        "enable javascript", "javascript is disabled", "subscribe to our", "sign up for our",
+        "follow us on", "share this", "copyright ©", "copyright (c)", "lorem ipsum",
+    ],
+    "de": [
+        "alle rechte vorbehalten", "lizenziert unter", "veröffentlicht unter der",
+        "nutzungsbedingungen", "allgemeine geschäftsbedingungen", "datenschutzerklärung",
+        "cookie-richtlinie", "cookies akzeptieren", "verwenden cookies", "javascript aktivieren",
+        "javascript ist deaktiviert", "newsletter abonnieren", "newsletter anmelden",
+        "folgen sie uns auf", "diesen beitrag teilen",
+    ],
+    "fr": [
+        "tous droits réservés", "sous licence", "publié sous la licence",
+        "conditions générales d'utilisation", "conditions d'utilisation",
+        "politique de confidentialité", "politique de cookies", "accepter les cookies",
+        "utilise des cookies", "activer javascript", "javascript est désactivé",
+        "abonnez-vous à notre", "inscrivez-vous à notre", "suivez-nous sur", "partager cet article",
+    ],
+    "es": [
+        "todos los derechos reservados", "bajo licencia", "bajo la licencia", "condiciones de uso",
+        "términos de servicio", "política de privacidad", "política de cookies", "aceptar cookies",
+        "utiliza cookies", "habilitar javascript", "javascript está desactivado",
+        "suscríbete a nuestro", "regístrate en nuestro", "síguenos en", "compartir este artículo",
+    ],
+}
+#: Words that open the entries of menus, by language.
+MENUS = {
+    "en": [
+        "home", "menu", "login", "log in", "sign in", "sign up", "register", "search", "next",
+        "previous", "back to top", "skip to content", "read more", "click here", "contact us",
+        "about us", "site map", "sitemap",
+    ],
+    "de": [
+        "startseite", "menü", "anmelden", "einloggen", "registrieren", "suche", "weiter",
+        "zurück", "nach oben", "zum inhalt springen", "weiterlesen", "mehr lesen", "hier klicken",
+        "kontakt", "über uns", "impressum",
+    ],
+    "fr": [
+        "accueil", "se connecter", "connexion", "s'inscrire", "rechercher", "suivant", "précédent",
+        "haut de page", "aller au contenu", "lire la suite", "en savoir plus", "cliquez ici",
+        "contactez-nous", "à propos de nous", "plan du site",
+    ],
+    "es": [
+        "inicio", "menú", "iniciar sesión", "acceder", "registrarse", "buscar", "siguiente",
+        "anterior", "volver arriba", "saltar al contenido", "leer más", "haz clic aquí",
+        "contacto", "sobre nosotros", "mapa del sitio",
+    ],
+}
+BOILERPLATE = [phrase for phrases in NOTICES.values() for phrase in phrases]
+NAVIGATION = [phrase for phrases in MENUS.values() for phrase in phrases]
 #: Marks that end a sentence or a quotation.
 SENTENCE_ENDS = ".!?:;\"')]»”’…。！？"
 SYMBOLS = "#*$%&|<>"
@@ -116,6 +157,7 @@ def _any_of(phrases: list[str]) -> str:
     return "|".join(phrase.replace("(", r"\(").replace(")", r"\)") for phrase in phrases)
 
 
+OPENS = f"^({_any_of(NAVIGATION)})" + r"(\P{L}|$)"
 ENDED = r"""[.!?:;。！？…]["')\]”’»]*$"""
 MARK = r"[!-/:-@\[-`{-~]"
 FEW_MARKS = 3
@@ -128,12 +170,13 @@ def line_fails(line: Column, min_words: int = 4, max_marks: float = 0.2) -> Colu
     Punctuation: it has under ``min_words`` words and no sentence end, or over ``FEW_MARKS``
     and over ``max_marks`` of its characters are ASCII punctuation. Navigation: three menu marks, or
     under eight words that open with a menu word and reach no sentence end. Boilerplate: it
-    holds a notice phrase.
+    holds a notice phrase. The words and phrases are those of all languages listed above,
+    whatever the language of the text.
     """
     def fails(bare: Column, lowered: Column) -> Column:
         n_words = F.size(F.split(bare, WORD_GAP))
         ended = bare.rlike(ENDED)
-        opens = lowered.rlike(f"^({_any_of(NAVIGATION)})([^a-z]|$)")
+        opens = lowered.rlike(OPENS)
         return (
             (F.regexp_count(bare, F.lit(MARK)) > F.greatest(
                 F.lit(FEW_MARKS), F.lit(max_marks) * F.length(bare)

@@ -66,8 +66,7 @@ v AS (SELECT *, solid AND (
         OR length(bare) - length(regexp_replace(bare, {quoted(quality.MARK)}, '', 'g'))
            > greatest({quality.FEW_MARKS}, 0.2::DOUBLE * length(bare))
         OR length(bare) - length(regexp_replace(bare, {quoted(quality.MENU_MARK)}, '', 'g')) >= 3
-        OR (n < 8 AND NOT ended AND regexp_matches(lower(bare),
-            {quoted(f"^({quality._any_of(quality.NAVIGATION)})([^a-z]|$)")}))
+        OR (n < 8 AND NOT ended AND regexp_matches(lower(bare), {quoted(quality.OPENS)}))
         OR regexp_matches(lower(bare), {quoted(quality._any_of(quality.BOILERPLATE))})
         ) AS fails FROM f),
 s AS (SELECT doc_id, t, count(*) FILTER (solid) - count(DISTINCT line) FILTER (solid) AS n_dup_lines,

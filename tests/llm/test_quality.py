@@ -52,3 +52,27 @@ def test_lines(spark):
     assert not found[4]["kept"]
     plan = quality.line_quality(df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_lines_of_other_languages(spark):
+    bad = [
+        "Alle Rechte vorbehalten, siehe unsere Datenschutzerklärung.", "Über uns und unsere Geschichte hier",
+        "Zurück zur Übersicht der letzten Beiträge", "Tous droits réservés par les auteurs du site.",
+        "Lire la suite de cet article ici", "À propos de nous et du site",
+        "Lisez nos conditions d'utilisation avant de continuer.", "Este sitio utiliza cookies propias y de terceros.",
+        "Menú principal de todas las páginas", "Leer más sobre este tema aquí",
+    ]
+    good = [
+        "Der Kontaktmann wohnt weit draußen am Fluss", "Die Suche nach dem alten Haus dauerte viele Jahre lang an",
+        "Le menuisier travaille encore dans son atelier", "Suivante dans la file, elle attendait son tour",
+        "El anterioridad no cuenta en esta casa vieja", "Buscaron la casa junto al río.",
+    ]
+    text = "\n".join([*bad, *good])
+    found = quality.line_quality(frame(spark, [row(1, text)])).first()
+    assert found["clean_text"] == "\n".join(good)
+
+
+def test_menu_words_end_where_words_end(spark):
+    lines = ["Homeß is a word of five", "Menüs gibt es in allen guten Häusern", "Homepage of the old house there"]
+    found = quality.line_quality(frame(spark, [row(1, "\n".join(lines))])).first()
+    assert found["n_failed_lines"] == 0
