@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +24,30 @@ def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def same_layout(spark: SparkSession, path: str, layout: Mapping[str, object]) -> None:
+    """Record how a stream lays out what it remembers, or fail if a start before did otherwise.
+
+    State is found again only by the layout it was written with: other salts look for a key in
+    other states, other keys or folders of whole tables read the wrong rows. Without a word
+    the stream would go on as if it had seen nothing.
+    """
+    now = {name: str(value) for name, value in layout.items()}
+    try:
+        rows = spark.read.schema("name string, value string").parquet(path).collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = []
+    before = {row["name"]: row["value"] for row in rows}
+    if not before:
+        pairs = spark.createDataFrame(list(now.items()), "name string, value string")
+        pairs.coalesce(1).write.mode("overwrite").parquet(path)
+    elif before != now:
+        other = sorted(name for name in before.keys() | now.keys() if before.get(name) != now.get(name))
+        changes = "; ".join(f"{name} was {before.get(name)}, is {now.get(name)}" for name in other)
+        raise ValueError(f"the state recorded at {path} has another layout: {changes}")
+
+
 @dataclass(frozen=True)
 class BatchTable:
     """A keyed table that micro-batches change, one Parquet folder per batch.
@@ -45,6 +70,12 @@ class BatchTable:
     def is_full(self, batch_id: int) -> bool:
         return batch_id % self.full_every == 0
 
+    def check(self) -> None:
+        """Fail if the folders were written by a table of another layout."""
+        same_layout(self.spark, f"{self.path}/layout", {
+            "schema": self.schema.simpleString(), "keys": ",".join(self.keys), "full_every": self.full_every,
+        })
+
     def before(self, batch_id: int) -> DataFrame:
         """The table as it was before the batch; empty before the first."""
         if batch_id <= 0:

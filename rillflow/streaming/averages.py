@@ -161,12 +161,17 @@ def running_average_batches(
 
     The (count, sum) of every key is kept below ``sums_path`` as a :class:`BatchTable`, to which
     a batch adds only the keys it has rows of. A batch that runs again finds the sums of the
-    one before it and overwrites its own, so a retry gives the same rows.
+    one before it and overwrites its own, so a retry gives the same rows. A restart with other
+    keys fails at its first batch.
     """
+    checked: list[bool] = []
 
     def average(batch: DataFrame, batch_id: int) -> None:
         schema = T.StructType([*[batch.schema[key] for key in keys], *SUMS.fields])
         table = BatchTable(batch.sparkSession, sums_path, schema, tuple(keys))
+        if not checked:
+            table.check()
+            checked.append(True)
         before = table.before(batch_id) if batch_id > 0 else None
         sink(
             batch_averages.running_average(
@@ -213,9 +218,10 @@ def inactivity_average_batches(
     settled, all moments whose gap is still open, and the watermark. What is open reaches back
     ``gap_seconds`` and the lateness from the newest time, whatever the length of the stream.
 
-    A batch that runs again overwrites its own state and gives the same rows. A hot key is cut
-    into blocks as in the batch operator.
+    A batch that runs again overwrites its own state and gives the same rows; a restart with
+    other keys fails at its first batch. A hot key is cut into blocks as in the batch operator.
     """
+    checked: list[bool] = []
     gap, lateness = int(gap_seconds * 1_000_000), int(lateness_seconds * 1_000_000)
     micros = F.unix_micros(event_time)
 
@@ -228,6 +234,9 @@ def inactivity_average_batches(
         sums = BatchTable(
             spark, f"{state_path}/sums", T.StructType([*key_fields, *SUMS.fields]), tuple(keys)
         )
+        if not checked:
+            sums.check()
+            checked.append(True)
         open_moments = BatchTable(spark, f"{state_path}/open", moment, full_every=1)
         marks = BatchTable(spark, f"{state_path}/watermark", columns("micros long"), full_every=1)
         known = marks.before(batch_id).first()

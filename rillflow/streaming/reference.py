@@ -104,7 +104,8 @@ def reference_join_stream(
     are ordered by the time ``arrival``, if given (null first), and then by ``version``.
     ``salts`` spreads a key's
     telemetry over that many states by a hash of its columns, each with its own copy of
-    the key's reference records, so that a hot key does not sit in one task. Held rows
+    the key's reference records, so that a hot key does not sit in one task. A query must keep
+    its salts: give ``layout={"salts": salts}`` to what starts it. Held rows
     stay until their record comes, unless ``ttl_millis`` is given. With a time to live,
     Spark keeps on looking for expired rows, so a bounded trigger would not end.
     """

@@ -30,7 +30,8 @@ class ReferenceJoin:
     batch, or of its own, releases it, once. Rows whose key has a null are left out.
 
     ``state_path`` belongs to one checkpoint. A batch that runs again reads the state that the
-    one before it left and overwrites its own, so it gives the same rows. Telemetry is joined to
+    one before it left and overwrites its own, so it gives the same rows. A restart with other
+    keys, columns or ``full_every`` fails at its first batch. Telemetry is joined to
     the known records by broadcast where they are proven small; else hot keys of the batch are
     spread over ``salts`` tasks. With ``ttl_seconds``, held rows are dropped after that time.
     """
@@ -104,9 +105,15 @@ class ReferenceJoin:
     def step(self, sink: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
         """Function for ``foreachBatch``; ``sink`` gets the joined rows of every batch."""
 
+        checked: list[bool] = []
+
         def join(batch: DataFrame, batch_id: int) -> None:
             spark, slot = batch.sparkSession, batch_id % 2
             known, held = self.known(spark), self.held(spark)
+            if not checked:
+                known.check()
+                held.check()
+                checked.append(True)
             order = F.struct("_since", "_tie", "_record")
             # Every task brings a key's records down to two before the shuffle.
             arrived = written(batch.filter(F.col("_record").isNotNull()).groupBy("_key").agg(

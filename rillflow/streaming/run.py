@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from rillflow.plans.shared import same_layout
+
 BOUNDED = {"availableNow": True}
 # How often state and offsets are secured, as in the jobs this follows (fixed value).
 STEADY = {"processingTime": "120 seconds"}
@@ -36,11 +38,16 @@ def start(
     sink: Callable[[DataFrame, int], None],
     mode: str = "append",
     trigger: dict | None = None,
+    layout: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
     """Run ``sink`` on every micro-batch.
 
     The name fixes the checkpoint folder, so a restarted query goes on where it was.
+    ``layout`` names what its state hangs on, such as ``{"salts": 8}``; it is kept beside the
+    checkpoint, and a restart with another one fails.
     """
+    if layout is not None:
+        same_layout(df.sparkSession, f"{checkpoint_root}/{name}-layout", layout)
     return (
         df.writeStream.queryName(name)
         .option("checkpointLocation", f"{checkpoint_root}/{name}")
@@ -57,8 +64,11 @@ def start_parquet(
     checkpoint_root: str,
     path: str,
     trigger: dict | None = None,
+    layout: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
-    """Append to a Parquet folder, exactly once."""
+    """Append to a Parquet folder, exactly once; ``layout`` as in :func:`start`."""
+    if layout is not None:
+        same_layout(df.sparkSession, f"{checkpoint_root}/{name}-layout", layout)
     return (
         df.writeStream.queryName(name)
         .option("checkpointLocation", f"{checkpoint_root}/{name}")

@@ -415,3 +415,34 @@ def test_table_join_has_no_python(spark, folder):
         trigger=run.BOUNDED,
     ).awaitTermination()
     assert plans and not any(word in plan for plan in plans for word in ("Python", "Pandas", "Arrow", "from_json"))
+
+
+def test_a_restart_with_another_layout_fails(spark, folder):
+    telemetry, drivers = Feed(spark, folder(), TELEMETRY), Feed(spark, folder(), DRIVERS)
+    telemetry.land([spot(1, 1)])
+    drivers.land([driver(1, 2)])
+    root, out = folder(), folder()
+
+    def begin(salts):
+        joined = reference_join_stream(telemetry.stream(), drivers.stream(), salts=salts)
+        return run.start_parquet(joined, "join", root, out, run.BOUNDED, layout={"salts": salts})
+
+    with run.state_per_core(spark):
+        begin(2).awaitTermination()
+        begin(2).awaitTermination()
+        with pytest.raises(ValueError, match="salts was 2, is 3"):
+            begin(3)
+
+    tables, checkpoint = folder(), folder()
+
+    def step(**options):
+        join = ReferenceJoin(telemetry.stream(), drivers.stream(), tables, **options)
+        run.start(
+            join.inputs(), "tables", checkpoint, join.step(lambda batch, _: batch.count()), trigger=run.BOUNDED
+        ).awaitTermination()
+
+    step(full_every=2)
+    telemetry.land([spot(1, 3)])
+    with pytest.raises(Exception, match="full_every was 2, is 4"):
+        step(full_every=4)
+    step(full_every=2)
