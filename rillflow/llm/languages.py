@@ -18,9 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rillflow.llm.common import batched, slices, text_parts
+from rillflow.llm.common import batched, held, slices, text_parts
 
-#: Language codes by family. Other codes form a family of their own each.
+#: Language codes by family. For other codes see ``grouped``.
 FAMILIES = {
     "germanic": ["af", "da", "de", "en", "fy", "is", "lb", "nb", "nl", "nn", "no", "sv", "yi"],
     "romance": ["ca", "es", "fr", "gl", "it", "la", "oc", "pt", "ro"],
@@ -33,6 +33,10 @@ FAMILIES = {
 }
 FEATURES = 1 << 13
 UNDETERMINED = "und"
+#: Other codes up to this number form a family of their own each; more share families of so many.
+FAMILY_SIZE = 16
+#: Rows of one side of a duel between families, taken evenly from its languages.
+DUEL_ROWS = 1600
 
 _FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in codes}
 _FOLD = np.full(256, 32, np.int64)
@@ -43,8 +47,34 @@ _IS_LETTER = np.zeros(256, bool)
 _IS_LETTER[65:91] = _IS_LETTER[97:123] = True
 
 
-def family_of(language: str) -> str:
-    return _FAMILY_OF.get(language, f"only {language}")
+def grouped(languages: list[str]) -> dict[str, list[str]]:
+    """Families and their languages. Duels so grow with families squared plus languages."""
+    families: dict[str, list[str]] = {}
+    other = sorted(set(languages) - _FAMILY_OF.keys())
+    shared = len(other) > FAMILY_SIZE
+    for i, language in enumerate(other):
+        name = f"others {i // FAMILY_SIZE:06d}" if shared else f"only {language}"
+        families.setdefault(name, []).append(language)
+    for language in sorted(set(languages) & _FAMILY_OF.keys()):
+        families.setdefault(_FAMILY_OF[language], []).append(language)
+    return families
+
+
+@dataclass
+class TrigramCounts:
+    """Rows of trigram counts, kept as features and numbers; an array of indices takes them dense."""
+
+    which: list[np.ndarray]
+    numbers: list[np.ndarray]
+
+    def __len__(self) -> int:
+        return len(self.which)
+
+    def __getitem__(self, rows: np.ndarray) -> np.ndarray:
+        x = np.zeros((len(rows), FEATURES), np.float32)
+        for i, row in enumerate(rows.tolist()):
+            x[i, self.which[row]] = self.numbers[row]
+        return x
 
 
 def trigrams(data: np.ndarray) -> np.ndarray:
@@ -88,21 +118,24 @@ class Profile:
         return (mean - self.middle) / np.sqrt(self.spread ** 2 + self.one ** 2 / np.maximum(n, 1))
 
 
-def fit_profile(x: np.ndarray, labels: np.ndarray) -> Profile:
+def fit_profile(x: np.ndarray | TrigramCounts, labels: np.ndarray) -> Profile:
     """A profile from rows of trigram counts: half of each language's for the shares, half to measure."""
-    logs, held_out, spreads = [], [], []
+    best, held_out, spreads = None, [], []
     for language in np.unique(labels):
-        own = x[labels == language]
+        own = np.flatnonzero(labels == language)
         known, rest = (own[::2], own[1::2]) if len(own) > 1 else (own, own)
-        share = (known.sum(axis=0, dtype=np.float64) + 0.5) / (known.sum(dtype=np.float64) + 0.5 * x.shape[1])
-        logs.append(np.log(share))
+        counts = x[known].sum(axis=0, dtype=np.float64)
+        share = (counts + 0.5) / (counts.sum() + 0.5 * len(counts))
+        logs = np.log(share)
+        best = logs if best is None else np.maximum(best, logs)
         held_out.append(rest)
-        spreads.append(np.sqrt((share * logs[-1] ** 2).sum() - (share * logs[-1]).sum() ** 2))
-    best = np.max(logs, axis=0)
-    means = np.concatenate([
-        rows @ best / sizes for part in held_out
-        for rows, sizes in [(part[part.sum(axis=1) > 0], part.sum(axis=1)[part.sum(axis=1) > 0])]
-    ])
+        spreads.append(np.sqrt((share * logs ** 2).sum() - (share * logs).sum() ** 2))
+    means = []
+    for rest in held_out:
+        rows = x[rest]
+        sizes = rows.sum(axis=1)
+        means.append(rows[sizes > 0] @ best / sizes[sizes > 0])
+    means = np.concatenate(means)
     if not len(means):
         return Profile(best, float(best.mean()), 1.0, float(np.mean(spreads)))
     middle = float(np.median(means))
@@ -115,7 +148,7 @@ def train_machine(x: np.ndarray, y: np.ndarray, cost: float = 1.0, epochs: int =
     """A linear support vector machine (squared hinge) by dual coordinate descent."""
     x = np.c_[x, np.ones(len(x), x.dtype)]
     w, alpha = np.zeros(x.shape[1]), np.zeros(len(x))
-    diagonal = (x * x).sum(axis=1) + 0.5 / cost
+    diagonal = np.einsum("ij,ij->i", x, x) + 0.5 / cost
     order = np.random.default_rng(5)
     for _ in range(epochs):
         moved = 0.0
@@ -131,31 +164,49 @@ def train_machine(x: np.ndarray, y: np.ndarray, cost: float = 1.0, epochs: int =
     return w[:-1], float(w[-1])
 
 
-def fit(x: np.ndarray, labels: list[str], languages: list[str]) -> Machines:
-    """Machines for rows of trigram counts. Features are scaled by their spread first."""
-    machines = Machines(languages)
-    for language in languages:
-        machines.families.setdefault(family_of(language), []).append(language)
+def _scale(x: np.ndarray | TrigramCounts, codes: np.ndarray) -> np.ndarray:
+    """Factors that even out the spread of features, from sums language by language."""
+    sums, squares = np.zeros(FEATURES), np.zeros(FEATURES)
+    for language in np.unique(codes):
+        shares = _shares(x[np.flatnonzero(codes == language)])
+        sums += shares.sum(axis=0, dtype=np.float64)
+        squares += np.einsum("ij,ij->j", shares, shares, dtype=np.float64)
+    scale = 1 / np.sqrt(sums / len(x) + 1e-6)
+    return scale / (np.sqrt((squares * scale ** 2).sum() / len(x)) + 1e-12)
+
+
+def _shares(rows: np.ndarray) -> np.ndarray:
+    return rows / np.maximum(rows.sum(axis=1, keepdims=True), 1)
+
+
+def fit(x: np.ndarray | TrigramCounts, labels: list[str], languages: list[str]) -> Machines:
+    """Machines for rows of trigram counts. Features are scaled by their spread first.
+
+    Only the rows of one language, or of one duel, are dense at a time.
+    """
+    machines = Machines(languages, grouped(languages))
     if not len(x):
         return machines
-    machines.profile = fit_profile(x, np.array(labels))
-    x = x / np.maximum(x.sum(axis=1, keepdims=True), 1)
-    scale = 1 / np.sqrt(x.mean(axis=0) + 1e-6)
-    scale /= np.sqrt(((x * scale) ** 2).sum(axis=1).mean()) + 1e-12
-    x = x * scale
     codes = np.array(labels)
-    groups = np.array([family_of(label) for label in labels])
-
-    def duel(one: str, two: str, names: np.ndarray) -> None:
-        rows = (names == one) | (names == two)
-        w, b = train_machine(x[rows], np.where(names[rows] == one, 1.0, -1.0))
+    machines.profile = fit_profile(x, codes)
+    scale = _scale(x, codes)
+    rows_of = {language: np.flatnonzero(codes == language) for language in languages}
+
+    def duel(one: str, two: str, rows: dict[str, np.ndarray]) -> None:
+        y = np.repeat([1.0, -1.0], [len(rows[one]), len(rows[two])])
+        chosen = np.r_[rows[one], rows[two]]
+        w, b = train_machine((_shares(x[chosen]) * scale).astype(np.float32), y)
         machines.duels[one, two] = (w * scale, b)
 
+    family_rows = {}
+    for family, members in machines.families.items():
+        own = np.concatenate([rows_of[language] for language in members])
+        family_rows[family] = own[::-(-len(own) // DUEL_ROWS)] if len(own) else own
     for one, two in combinations(sorted(machines.families), 2):
-        duel(one, two, groups)
+        duel(one, two, family_rows)
     for members in machines.families.values():
         for one, two in combinations(sorted(members), 2):
-            duel(one, two, codes)
+            duel(one, two, rows_of)
     return machines
 
 
@@ -176,6 +227,17 @@ def _winners(names: list[str], margins: dict[tuple[str, str], np.ndarray], rows:
     return best, least[np.arange(rows), best]
 
 
+def _margins(machines: Machines, names: list[str], grams: np.ndarray, first: np.ndarray,
+             last: np.ndarray) -> dict[tuple[str, str], np.ndarray]:
+    """The margins of all duels between ``names`` for texts given by their spans of trigrams."""
+    margins = {}
+    for pair in combinations(names, 2):
+        weights, bias = machines.duels[pair]
+        sums = np.r_[0.0, np.cumsum(weights[grams])]
+        margins[pair] = (sums[last] - sums[first]) / np.maximum(last - first, 1) + bias
+    return margins
+
+
 def _sure(margin: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(3 * margin, -50, 50)))
 
@@ -190,15 +252,10 @@ def predict_slice(machines: Machines, column: pa.Array) -> tuple[list[str], np.n
         lettered[i] = any(map(str.isalpha, column[i].as_py()))
     if not machines.languages or not rows:
         return [UNDETERMINED] * rows, np.zeros(rows)
-    first, last = _spans(at)
     grams = trigrams(data) if len(data) > 2 else np.zeros(0, np.int64)
-    margins = {}
-    for names, (weights, bias) in machines.duels.items():
-        sums = np.r_[0.0, np.cumsum(weights[grams])]
-        first_, last_ = np.minimum(first, len(grams)), np.minimum(last, len(grams))
-        margins[names] = (sums[last_] - sums[first_]) / np.maximum(last_ - first_, 1) + bias
+    first, last = (np.minimum(edge, len(grams)) for edge in _spans(at))
     families = sorted(machines.families)
-    won, margin = _winners(families, margins, rows)
+    won, margin = _winners(families, _margins(machines, families, grams, first, last), rows)
     score = _sure(margin)
     found = np.full(rows, UNDETERMINED, object)
     for k, family in enumerate(families):
@@ -206,8 +263,12 @@ def predict_slice(machines: Machines, column: pa.Array) -> tuple[list[str], np.n
         if not len(mine):
             continue
         members = sorted(machines.families[family])
-        own = {names: m[mine] for names, m in margins.items() if names[0] in members}
-        best, weakest = _winners(members, own, len(mine))
+        # The trigrams of the family's own texts, side by side.
+        sizes = last[mine] - first[mine]
+        edges = np.r_[0, np.cumsum(sizes)]
+        own = grams[np.arange(edges[-1]) + np.repeat(first[mine] - edges[:-1], sizes)]
+        margins = _margins(machines, members, own, edges[:-1], edges[1:])
+        best, weakest = _winners(members, margins, len(mine))
         found[mine] = np.array(members, object)[best]
         score[mine] *= _sure(weakest)
     found[~lettered] = UNDETERMINED
@@ -230,28 +291,25 @@ def typicality_slice(machines: Machines, column: pa.Array) -> np.ndarray:
 
 
 def train(docs: DataFrame, trains: Column, id_col: str, text_col: str, lang_col: str,
-          per_language: int = 400, most_languages: int = 100, seed: int = 11) -> Machines:
+          per_language: int = 400, most_rows: int = 20_000, seed: int = 11) -> Machines:
     """Machines learned from labelled rows where ``trains`` holds.
 
-    Bound: about ``per_language`` rows of each of the ``most_languages`` most frequent
-    languages, drawn by a hash of id and text. Only their trigram counts reach the driver,
-    equal rows once.
+    Bound: about ``per_language`` rows of every language, and fewer of each where that would be
+    more than ``most_rows`` together, drawn by a hash of id and text. No language is left out for
+    being rare. Only the trigram counts of drawn rows reach the driver, equal rows once.
     """
     labelled = docs.filter(trains & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = labelled.groupBy(F.col(lang_col).cast("string").alias("lang_")).count().orderBy(
-        F.desc("count"), "lang_"
-    ).limit(most_languages).collect()
-    if not counts:
-        return Machines([])
-    shares = F.create_map(*[
-        x for row in counts
-        for x in (F.lit(row["lang_"]), F.lit(min(1.0, per_language / row["count"])))
-    ])
     lang = F.col(lang_col).cast("string")
+    counts = held(labelled.groupBy(lang.alias("known_")).agg(F.count("*").alias("rows_")), "languages")
+    number = counts.count()
+    if not number:
+        return Machines([])
+    share = F.lit(min(float(per_language), most_rows / number)) / F.col("rows_")
     draw = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
-    drawn = labelled.select(lang.alias("lang_"), draw.alias("draw_"), F.col(text_col).alias("text_")).filter(
-        F.pmod("draw_", F.lit(1 << 40)) / float(1 << 40)
-        < F.coalesce(F.try_element_at(shares, F.col("lang_")), F.lit(0.0))
+    drawn = labelled.select(lang.alias("lang_"), draw.alias("draw_"), F.col(text_col).alias("text_")).join(
+        counts, F.col("lang_") == F.col("known_")
+    ).filter(F.pmod("draw_", F.lit(1 << 40)) / float(1 << 40) < share).select(
+        "lang_", "draw_", "text_"
     ).dropDuplicates(["lang_", "draw_"])
     schema = T.StructType([
         T.StructField("lang_", T.StringType()), T.StructField("draw_", T.LongType()),
@@ -274,9 +332,10 @@ def train(docs: DataFrame, trains: Column, id_col: str, text_col: str, lang_col:
             )
 
     found = sorted(batched(drawn).mapInArrow(describe, schema).collect(), key=lambda r: (r["lang_"], r["draw_"]))
-    x = np.zeros((len(found), FEATURES), np.float32)
-    for i, row in enumerate(found):
-        x[i, np.frombuffer(row["grams"], np.uint16)] = np.frombuffer(row["counts"], np.uint32)
+    x = TrigramCounts(
+        [np.frombuffer(row["grams"], np.uint16) for row in found],
+        [np.frombuffer(row["counts"], np.uint32) for row in found],
+    )
     labels = [row["lang_"] for row in found]
     return fit(x, labels, sorted(set(labels)))
 
@@ -295,8 +354,8 @@ def identify(
     has no letter, or nothing was learned. ``score`` (0 to 1) multiplies how surely the
     winner won its closest duel among families and among languages. Whole texts are read;
     a text under three bytes falls to the biases. Equal texts give equal results; names of
-    results in ``keep`` are an error. The machines travel with the tasks: their
-    size is bounded by the number of languages.
+    results in ``keep`` are an error. The machines travel with the tasks: 64 KB for every two
+    families and every two languages of a family.
     """
     names = list(dict.fromkeys([id_col, *keep]))
     results = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]

@@ -103,6 +103,43 @@ def test_what_is_no_language_is_not_typical(spark):
             languages.identify(docs.withColumn(name, F.lit(1)), machines, keep=(name,), typicality=True)
 
 
+def test_every_language_is_learned(spark):
+    """More languages than families are listed for, most with two rows; fewer rows drawn of the large."""
+    draw = random.Random(8)
+    words = {f"x{i:03}": ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(8)]
+             for i in range(120)}
+    words["en"], words["de"] = "the and of to in is that it".split(), "der die und das zu ist ein mit".split()
+    rows = [row(i, " ".join(draw.choices(words[lang], k=20)) + f" {i}", lang)
+            for i, lang in enumerate(list(words) * 2 + ["en"] * 300)]
+    docs = frame(spark, rows)
+    machines = languages.train(docs, F.lit(True), "doc_id", "text", "lang", most_rows=1220)
+    assert machines.languages == sorted(words)
+    assert max(map(len, machines.families.values())) <= languages.FAMILY_SIZE
+    assert sorted(itertools.chain(*machines.families.values())) == sorted(words)
+    asked = frame(spark, [row(i, " ".join(words[lang] * 3)) for i, lang in enumerate(words)])
+    found = {r["doc_id"]: r["lang_pred"] for r in languages.identify(asked, machines).collect()}
+    assert sum(found[i] == lang for i, lang in enumerate(words)) > 0.9 * len(words)
+
+
+def test_few_other_languages_are_families_of_their_own():
+    assert languages.grouped(["de", "xx", "en", "yy"]) == {
+        "only xx": ["xx"], "only yy": ["yy"], "germanic": ["de", "en"],
+    }
+
+
+def test_sparse_and_dense_counts_train_alike():
+    dense = np.random.default_rng(4).poisson(0.2, (24, languages.FEATURES))
+    sparse = languages.TrigramCounts(
+        [np.flatnonzero(x).astype(np.uint16) for x in dense], [x[x > 0].astype(np.uint32) for x in dense]
+    )
+    labels = ["en", "de", "fr", "xx"] * 6
+    one, other = (languages.fit(x, labels, sorted(set(labels))) for x in (dense, sparse))
+    assert one.duels.keys() == other.duels.keys() and len(one.duels) == 4
+    for names, (weights, bias) in one.duels.items():
+        assert np.allclose(weights, other.duels[names][0], atol=1e-3) and abs(bias - other.duels[names][1]) < 1e-3
+    assert abs(one.profile.middle - other.profile.middle) < 1e-4
+
+
 def test_slices_do_not_matter():
     import pyarrow as pa
     machines = languages.fit(
