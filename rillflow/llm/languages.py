@@ -296,7 +296,8 @@ def train(docs: DataFrame, trains: Column, id_col: str, text_col: str, lang_col:
 
     Bound: about ``per_language`` rows of every language, and fewer of each where that would be
     more than ``most_rows`` together, drawn by a hash of id and text. No language is left out for
-    being rare. Only the trigram counts of drawn rows reach the driver, equal rows once.
+    being rare, unless there are more languages than ``most_rows``: then some draw no row. Only the
+    trigram counts of drawn rows reach the driver, equal rows once.
     """
     labelled = docs.filter(trains & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     lang = F.col(lang_col).cast("string")
