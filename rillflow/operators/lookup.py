@@ -36,40 +36,41 @@ def lookup_join(
     """Left join to a lookup with at most one row per key.
 
     A lookup proven small is broadcast, and the left side stays where it is. A larger
-    one is shuffled; adaptive execution then splits the rows of a hot key. Streaming
+    one is shuffled. Rows without a key match nothing, so a hash of the whole left row spreads
+    them over all tasks. Adaptive execution splits the rows of a hot key. Streaming
     micro-batches run without it: with ``salts``, keys above ``hot_rows`` rows are
-    spread over that many tasks by a hash of the whole left row, and only their lookup
-    rows are copied; rows without a key are spread the same way. Keep the record version among the left columns where rows repeat.
+    spread over that many tasks by the same hash, and only their lookup
+    rows are copied. Keep the record version among the left columns where rows repeat.
     """
     on = F.col(left_key) == F.col(key)
     if fits_broadcast(lookup, broadcast_rows):
         return left.join(F.broadcast(lookup), on, "left")
-    if salts <= 1:
-        return left.join(lookup, on, "left")
-    hot = hot_keys(left.filter(F.col(left_key).isNotNull()), [left_key], hot_rows)
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts))
+    spread, one = F.xxhash64(*left.columns), F.array(F.lit(0).cast("long"))
+    keyless = F.col(left_key).isNull()
+    hot = None
+    if salts > 1:
+        hot = hot_keys(left.filter(~keyless), [left_key], hot_rows)
     if hot is None:
-        # Rows without a key match nothing, so they may go anywhere.
-        salted = left.withColumn("_salt", F.when(F.col(left_key).isNull(), spread).otherwise(0))
-        copies = lookup.withColumn("_copy", F.lit(0))
-        return salted.join(copies, on & (F.col("_salt") == F.col("_copy")), "left").drop(
-            "_salt", "_copy"
+        salted = left.withColumn("_salt", F.when(keyless, spread).otherwise(0))
+        # Exploded, as a plain 0 would be folded into the condition: the salt must stay a join
+        # key, or all rows without a key meet in one task.
+        copies = lookup.withColumn("_copy", F.explode(one))
+    else:
+        marks = hot.select(F.col(left_key).alias("_hot_key"))
+        salted = (
+            left.join(marks, F.col(left_key) == F.col("_hot_key"), "left")
+            .withColumn("_salt", F.when(keyless, spread).when(
+                F.col("_hot_key").isNotNull(), F.pmod(spread, F.lit(salts))
+            ).otherwise(0))
+            .drop("_hot_key")
+        )
+        all_salts = F.array(*[F.lit(salt).cast("long") for salt in range(salts)])
+        copies = (
+            lookup.join(marks, F.col(key) == F.col("_hot_key"), "left")
+            .withColumn("_copies", F.when(F.col("_hot_key").isNotNull(), all_salts).otherwise(one))
+            .withColumn("_copy", F.explode("_copies"))
+            .drop("_hot_key", "_copies")
         )
-    marks = hot.select(F.col(left_key).alias("_hot_key"))
-    salted = (
-        left.join(marks, F.col(left_key) == F.col("_hot_key"), "left")
-        .withColumn("_salt", F.when(
-            F.col("_hot_key").isNotNull() | F.col(left_key).isNull(), spread
-        ).otherwise(F.lit(0)))
-        .drop("_hot_key")
-    )
-    one, all_salts = F.array(F.lit(0)), F.array(*map(F.lit, range(salts)))
-    copies = (
-        lookup.join(marks, F.col(key) == F.col("_hot_key"), "left")
-        .withColumn("_copies", F.when(F.col("_hot_key").isNotNull(), all_salts).otherwise(one))
-        .withColumn("_copy", F.explode("_copies"))
-        .drop("_hot_key", "_copies")
-    )
     joined = salted.join(copies, on & (F.col("_salt") == F.col("_copy")), "left")
     return joined.drop("_salt", "_copy")
 

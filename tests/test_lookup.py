@@ -173,3 +173,31 @@ def test_ordered_job(spark, customers, folder):
     for task in seen:
         assert task == sorted(task)
     assert all(sum(any(p == part for p, _ in task) for task in seen) == 1 for part in range(2))
+
+
+@pytest.mark.parametrize("ids", ["range", "column"])
+@pytest.mark.parametrize("sizing", [{}, {"salts": 3}, {"salts": 3, "hot_rows": 5}])
+def test_rows_without_a_key_are_spread_over_the_tasks_of_a_shuffled_join(spark, sizing, ids):
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in conf}
+    left = spark.range(800).select(
+        F.col("id").alias("n"), F.when(F.col("id") % 4 == 0, F.col("id") % 40).alias("k")
+    )
+    known = spark.range(20).select("id", F.concat(F.lit("x"), "id").alias("name"))
+    if ids == "column":
+        known = known.unionByName(spark.createDataFrame([(None, "nobody")], "id long, name string"))
+    try:
+        for name, value in conf.items():
+            spark.conf.set(name, value)
+        joined = lookup.lookup_join(left, known, "k", "id", broadcast_rows=0, **sizing)
+        assert joined.columns == ["n", "k", "id", "name"]
+        found = joined.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sorted(r["n"] for r in found) == list(range(800))
+    for r in found:
+        known_key = r["k"] is not None and r["k"] < 20
+        assert (r["id"], r["name"]) == ((r["k"], f"x{r['k']}") if known_key else (None, None))
+    tasks = [r["task"] for r in found if r["k"] is None]
+    assert len(set(tasks)) == 4 and max(map(tasks.count, set(tasks))) < 300
