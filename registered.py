@@ -809,16 +809,30 @@ def bounded_run(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(f"{root}/rows")
 
 
-def landed(spark: SparkSession, sf_dir: str, root: str, parts: int) -> DataFrame:
-    """All events as a stream of ``parts`` micro-batches, cut along their ids."""
+# Rows of a landed file, about: what one task of a micro-batch reads.
+FILE_ROWS = 250_000
+
+
+def landed(
+    spark: SparkSession, sf_dir: str, root: str, parts: int, file_rows: int = FILE_ROWS
+) -> DataFrame:
+    """All events as a stream of ``parts`` micro-batches, cut along their ids.
+
+    Each part has the same number of files, empty ones among them if need be, and a batch takes
+    that many, in the order in which they were written.
+    """
     events = standins.table(spark, sf_dir, "events")
-    top = events.agg(F.max("event_id") + 1).first()[0] or 1
+    top, rows = events.agg(F.max("event_id") + 1, F.count("*")).first()
+    top, files_each = top or 1, max(1, -(-rows // (parts * file_rows)))
+    path, empty = f"{root}/events", spark.createDataFrame([], events.schema).coalesce(1)
     for part in range(parts):
         chosen = events.filter(F.floor(F.col("event_id") * parts / top) == part)
-        chosen.coalesce(1).write.mode("append").parquet(f"{root}/events")
+        chosen.repartition(files_each).write.mode("append").parquet(path)
+        there = len(spark.read.schema(events.schema).parquet(path).inputFiles())
+        for _ in range((part + 1) * files_each - there):
+            empty.write.mode("append").parquet(path)
     return (
-        spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
-        .parquet(f"{root}/events")
+        spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files_each).parquet(path)
     )
 
 

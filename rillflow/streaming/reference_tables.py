@@ -114,6 +114,8 @@ class ReferenceJoin:
                 known.check()
                 held.check()
                 checked.append(True)
+            # Several steps read it, and every read of the batch itself would decode its rows again.
+            batch = written(batch, "batch", f"{self.state_path}/batch/{slot}")
             order = F.struct("_since", "_tie", "_record")
             # Every task brings a key's records down to two before the shuffle.
             arrived = written(batch.filter(F.col("_record").isNotNull()).groupBy("_key").agg(
@@ -127,7 +129,7 @@ class ReferenceJoin:
             )
             serving = before.unionByName(new).withColumnRenamed("_key", "_id")
             telemetry = batch.filter(F.col("_telemetry").isNotNull()).select("_key", "_telemetry")
-            # Written once: the sink, and what is held, read it without running the batch again.
+            # Written once: the sink, and what is held, read it without joining again.
             joined = written(lookup_join(
                 telemetry, serving, "_key", "_id", self.salts, self.hot_rows, self.broadcast_rows
             ).select("_key", "_telemetry", "_record"), "joined", f"{self.state_path}/joined/{slot}")

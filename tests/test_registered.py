@@ -5,8 +5,11 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
+import registered
+from rillflow.streaming import run
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -52,3 +55,20 @@ def test_query(spark, tables, name):
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
+
+
+def test_landed_parts_are_batches_of_several_files(spark, folder):
+    """Parts of 60 events, none and one: each is one batch, and a large one is not one file."""
+    data, root, seen = folder(), folder(), {}
+    ids = [*range(60), 299, None]
+    events = spark.createDataFrame([(n,) for n in ids], "event_id long")
+    events.write.parquet(f"{data}/events.parquet")
+
+    def keep(batch, batch_id):
+        found = batch.select("event_id", F.input_file_name().alias("file")).collect()
+        seen[batch_id] = (sorted(r["event_id"] for r in found), len({r["file"] for r in found}))
+
+    stream = registered.landed(spark, data, root, 3, file_rows=7)
+    run.start(stream, "landed", folder(), keep, trigger=run.BOUNDED).awaitTermination()
+    assert [seen[n][0] for n in sorted(seen)] == [list(range(60)), [], [299]]
+    assert seen[0][1] == 3

@@ -446,3 +446,28 @@ def test_a_restart_with_another_layout_fails(spark, folder):
     with pytest.raises(Exception, match="full_every was 2, is 4"):
         step(full_every=4)
     step(full_every=2)
+
+
+def test_table_join_runs_its_batch_once(spark, folder):
+    telemetry, drivers = Feed(spark, folder(), TELEMETRY), Feed(spark, folder(), DRIVERS)
+    telemetry.land([spot(1, n) for n in range(20)])
+    drivers.land([driver(1, 2)])
+    ran = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def seen(key):
+        ran.add(1)
+        return key
+
+    rows_in = telemetry.stream()
+    key = ReferenceJoin.keys[-1]
+    counted = rows_in.withColumn(key, seen.asNondeterministic()(key).cast(rows_in.schema[key].dataType))
+    found = []
+    join = ReferenceJoin(
+        counted.select(*rows_in.columns), drivers.stream(), folder(), broadcast_rows=0, salts=3, hot_rows=5
+    )
+    run.start(
+        join.inputs(), "once", folder(), join.step(lambda batch, _: found.append(batch.count())),
+        trigger=run.BOUNDED,
+    ).awaitTermination()
+    assert sum(found) == 20 and ran.value == 20
