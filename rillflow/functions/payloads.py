@@ -132,6 +132,15 @@ def _typed(schema: T.StructType, record: str, zero_missing: bool) -> list[Column
     return out
 
 
+def _parsed(value: str, schema: T.StructType, options: dict[str, str]) -> Column:
+    """JSON text as one record per row, parsed once.
+
+    A filter on the record would move below a plain column and parse the text anew for
+    every field it looks at; it stays above an exploded one.
+    """
+    return F.explode(F.array(F.from_json(value, schema, options)))
+
+
 def decode(
     rows: DataFrame,
     schema: T.StructType,
@@ -149,7 +158,7 @@ def decode(
     record = rows.select(
         *keep,
         "value",
-        F.from_json("value", _as_read(schema), {"mode": "FAILFAST"}).alias("_record"),
+        _parsed("value", _as_read(schema), {"mode": "FAILFAST"}).alias("_record"),
     )
     failure = F.raise_error(
         F.concat(F.lit("not a record: "), F.coalesce("value", F.lit("null")))
@@ -168,7 +177,7 @@ def decode_or_divert(
     """Like :func:`decode`, but returns (decoded rows, malformed source rows)."""
     keep = list(keep)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = rows.withColumn("_record", F.from_json("value", _with_corrupt(_as_read(schema)), options))
+    parsed = rows.withColumn("_record", _parsed("value", _with_corrupt(_as_read(schema)), options))
     broken = (
         F.col("_record").isNull() | F.col(f"_record.{CORRUPT}").isNotNull()
         | _unreadable(schema, "_record")

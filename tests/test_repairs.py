@@ -96,3 +96,13 @@ def test_no_arrival_is_before_everything(spark):
             )
             found = {r["arrival"]: r["name"] for r in joined.collect()}
             assert "".join(found[at] for at in (None, 0, 5, 9)) == want
+
+
+def test_records_are_parsed_once_and_not_inside_a_filter(spark):
+    lines = spark.range(4).select(F.format_string('{"n": %d, "t": "x"}', "id").alias("value"))
+    kept, diverted = payloads.decode_or_divert(lines, RECORD)
+    for frame in (payloads.decode(lines, RECORD), kept, diverted):
+        executed = frame._jdf.queryExecution().executedPlan().toString().splitlines()
+        parses = [line for line in executed if "from_json(" in line]
+        assert len(parses) == 1 and "Filter" not in parses[0] and parses[0].count("from_json(") == 1
+    assert rows(kept) == [(n, "x") for n in range(4)] and rows(diverted) == []
